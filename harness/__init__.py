@@ -1,0 +1 @@
+"""Test-side code: raw frames mapped from the driver tables, queries and oracles."""

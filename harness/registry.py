@@ -1,0 +1,152 @@
+"""The registered queries: one operator each, over its written inputs."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from harness.layers import Layers, layers
+from tierline.operators import analysis, quality, quarantine, star
+from tierline.plans import clean_suite, raw_suite, run_checks, star_suite
+from tierline.plans.suites import delivered_without_date
+from tierline.schemas import AMOUNT, RAW
+from tierline.sources import count_tables, create_layers, ingest_raw, list_layer, register_table
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _csv_round_trip(t: Layers, name: str) -> DataFrame:
+    """Write a raw table as CSV files and ingest them again."""
+    path = f"{t.root}/csv/{name}"
+    t.raw(name).write.mode("overwrite").option("header", True).csv(path)
+    back = ingest_raw(t.spark, path, RAW[name])
+    lineage = F.col("_ingested_at").isNotNull() & F.col("_source_file").endswith(".csv")
+    return back.select(*RAW[name].names, lineage.alias("has_lineage"))
+
+
+def _table_listing(t: Layers) -> DataFrame:
+    """Register the star layer in the catalog, then list it from there."""
+    layer = "gold_" + t.root.rsplit("-", 1)[-1]
+    create_layers(t.spark, [layer], root=f"{t.root}/catalog")
+    for name in t.all_star():
+        register_table(t.spark, layer, name, t.star_path(name))
+    return list_layer(t.spark, layer)
+
+
+OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
+    "raw_categories": lambda t: t.mapped("product_category_translation"),
+    "raw_products": lambda t: t.mapped("products"),
+    "raw_customers": lambda t: t.mapped("customers"),
+    "raw_orders": lambda t: t.mapped("orders"),
+    "raw_order_items": lambda t: t.mapped("order_items"),
+    "csv_ingest_roundtrip": lambda t: _csv_round_trip(t, "order_items"),
+    "csv_ingest_orders": lambda t: _csv_round_trip(t, "orders"),
+    "clean_categories": lambda t: t.build_clean("categories"),
+    "clean_products": lambda t: t.build_clean("products"),
+    "clean_customers": lambda t: t.build_clean("customers"),
+    "clean_orders": lambda t: t.build_clean("orders"),
+    "accepted_items": lambda t: quarantine.build_order_items(t.classify_live()),
+    "quarantined_items": lambda t: quarantine.build_quarantine(t.classify_live()),
+    "quarantine_exact": lambda t: quarantine.build_exact_quarantine(t.classified()),
+    "dim_products": lambda t: t.build_star("dim_products"),
+    "dim_customers": lambda t: star.build_dim_customers(
+        t.clean("customers"), t.clean("orders"), t.clean("order_items")
+    ),
+    "fact_order_items": lambda t: star.build_fact_order_items(
+        t.clean("order_items"), t.clean("orders"), t.clean("customers")
+    ),
+    "monthly_trend": lambda t: analysis.monthly_trend(t.star("fact_order_items")),
+    "running_revenue": lambda t: analysis.running_revenue(t.star("fact_order_items")),
+    "spend_segments": lambda t: analysis.spend_segments(
+        t.star("dim_customers"), (("High Value", 1_500_000), ("Mid Value", 900_000))
+    ),
+    "spend_segments_default": lambda t: analysis.spend_segments(t.star("dim_customers")),
+    "purchase_range": lambda t: analysis.purchase_range(t.star("fact_order_items")),
+    "price_range": lambda t: analysis.price_range(t.star("fact_order_items")),
+    "delivery_range": lambda t: analysis.delivery_range(t.star("fact_order_items")),
+    "table_listing": _table_listing,
+    "category_list": lambda t: analysis.category_list(t.star("dim_products")),
+    "state_list": lambda t: analysis.state_list(t.star("dim_customers")),
+    "delivery_performance": lambda t: analysis.delivery_performance(
+        t.star("fact_order_items"), t.star("dim_customers")
+    ),
+    "delivery_performance_by_order": lambda t: analysis.delivery_performance_by_order(
+        t.star("fact_order_items"), t.star("dim_customers")
+    ),
+    "revenue_by_state": lambda t: analysis.revenue_by_state(
+        t.star("fact_order_items"), t.star("dim_customers")
+    ),
+    "top_products": lambda t: analysis.top_products(
+        t.star("fact_order_items"), t.star("dim_products")
+    ),
+    "top_categories": lambda t: analysis.top_categories(
+        t.star("fact_order_items"), t.star("dim_products")
+    ),
+    "dq_duplicate_keys": lambda t: quality.duplicate_keys(
+        t.raw("order_items"), ["order_id", "order_item_id"]
+    ),
+    "dq_missing_rows": lambda t: quality.missing_rows(
+        t.raw("orders"), ["order_id", "customer_id", "order_delivered_customer_date"]
+    ),
+    "dq_orphans": lambda t: quality.orphans(
+        t.raw("orders").select("order_id", "customer_id"), t.raw("customers"), "customer_id"
+    ),
+    "dq_orphan_categories": lambda t: quality.orphans(
+        t.raw("products"),
+        t.raw("product_category_translation"),
+        "product_category_name",
+        ignore_null=True,
+        distinct=True,
+    ),
+    "dq_pattern": lambda t: quality.pattern_violations(
+        t.raw("order_items"),
+        {"price": quarantine.UNSIGNED_DECIMAL, "freight_value": quarantine.UNSIGNED_DECIMAL},
+    ),
+    "dq_negative": lambda t: quality.negative_rows(t.clean("orders"), ["delivery_days"]),
+    "dq_domain": lambda t: quality.distinct_values(t.raw("orders"), "order_status"),
+    "dq_length": lambda t: quality.length_violations(t.clean("customers"), "state", 2),
+    "dq_implication": lambda t: t.raw("orders").filter(delivered_without_date()),
+    "dq_count_pair": lambda t: quality.count_pair(
+        t.clean("orders"),
+        delivered_true=F.col("is_delivered"),
+        delivery_days_not_null=F.col("delivery_days").isNotNull(),
+    ),
+    "dq_row_counts": lambda t: count_tables(t.all_raw()),
+    "dq_reason_tally": lambda t: quality.tally(
+        t.clean("quarantine_order_items"), "rejection_reason"
+    ),
+    "dq_reconciliation": lambda t: quarantine.reconcile(
+        t.raw("order_items"), t.clean("order_items"), t.clean("quarantine_order_items")
+    ),
+    "dq_reconciliation_exact": lambda t: quarantine.reconcile(
+        t.raw("order_items"),
+        t.clean("order_items"),
+        quarantine.build_exact_quarantine(t.classified()),
+    ),
+    "dq_cast_losses": lambda t: quality.cast_losses(
+        t.raw("order_items"),
+        {
+            "price": AMOUNT,
+            "freight_value": AMOUNT,
+            "shipping_limit_date": T.TimestampNTZType(),
+        },
+    ),
+    "dq_suite_bronze": lambda t: run_checks("bronze", t.all_raw(), raw_suite()),
+    "dq_suite_silver": lambda t: run_checks(
+        "silver", {**t.all_clean(), "raw_order_items": t.raw("order_items")}, clean_suite()
+    ),
+    "dq_suite_gold": lambda t: run_checks(
+        "gold", {**t.all_star(), "order_items": t.clean("order_items")}, star_suite()
+    ),
+}
+
+
+def _over_layers(operator: Callable[[Layers], DataFrame]) -> Query:
+    return lambda spark, sf_dir: operator(layers(spark, sf_dir))
+
+
+def queries() -> dict[str, Query]:
+    return {name: _over_layers(operator) for name, operator in OPERATORS.items()}
