@@ -15,13 +15,13 @@ from harness.mapped_raw import raw_table
 from tierline.operators import cleaning, quarantine, star
 from tierline.plans.pipeline import write_classified
 from tierline.schemas import CLEAN, RAW, STAR
-from tierline.session import shared_folder, tune
+from tierline.session import input_bytes, shared_folder, size_for, tune
 from tierline.sources import layer_path, read_table, write_table
 
 
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark = tune(spark)
+        self.spark = size_for(tune(spark), input_bytes(spark, sf_dir))
         self.sf_dir = sf_dir
         self.root = shared_folder(spark)
         self._tables: dict[tuple[str, str], DataFrame] = {}

@@ -48,7 +48,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "clean_products": lambda t: t.build_clean("products"),
     "clean_customers": lambda t: t.build_clean("customers"),
     "clean_orders": lambda t: t.build_clean("orders"),
-    "accepted_items": lambda t: quarantine.build_order_items(t.classify_live()),
+    "accepted_items": lambda t: t.build_clean("order_items"),
     "quarantined_items": lambda t: quarantine.build_quarantine(t.classify_live()),
     "quarantine_exact": lambda t: quarantine.build_exact_quarantine(t.classified()),
     "dim_products": lambda t: t.build_star("dim_products"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.functions import month_of
 from tierline.operators import cleaning, quarantine, star
 from tierline.schemas import CLEAN, LINEAGE, RAW, RAW_FILES, STAR
-from tierline.session import tune
+from tierline.session import input_bytes, size_for, tune
 from tierline.sources import ingest_raw, layer_path, read_table, write_table
 
 RAW_LAYER, CLEAN_LAYER, STAR_LAYER, WORK_LAYER = "bronze", "silver", "gold", "work"
@@ -166,7 +166,7 @@ def run(
 
     ``exact`` also quarantines the duplicates that deduplication leaves out.
     """
-    tune(spark)
+    size_for(tune(spark), input_bytes(spark, input_dir))
     raw = ingest_layer(spark, input_dir, output_root, files=files, escape=escape)
     clean = build_clean(spark, raw, output_root, exact=exact)
     return {"bronze": raw, "silver": clean, "gold": build_star(spark, clean, output_root)}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 
@@ -14,11 +16,15 @@ MIB = 1024 * 1024
 # forceOptimizeSkewedJoin: an oversized join partition is split even where the
 # operator above wanted the join's partitioning; the extra exchange appears only
 # when there is skew to split.
+#
+# maxShuffledHashJoinLocalMapThreshold: where every partition of a join's smaller
+# side turns out this small, hash it instead of sorting both sides.
 RUNTIME_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MIB),
 }
 
 
@@ -29,17 +35,54 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def partitions_for(input_bytes: int, target_bytes: int = 256 * MIB, at_least: int = 8) -> int:
-    """Shuffle partitions that keep each one near ``target_bytes``.
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of the files under ``paths``, from their listing; no file is opened."""
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    )
+    return listing.agg(F.sum("length")).first()[0] or 0
+
+
+def sizing_for(size: int) -> dict[str, str]:
+    """Scan and shuffle settings for an input of ``size`` bytes.
 
-    Adaptive execution merges partitions that turn out small, so this number only
-    has to be large enough: 100 TB at 256 MiB is about 400,000.
+    Tasks stay near 256 MiB while that gives a manageable number of them. Above
+    that the tasks grow instead, because a shuffle moves (scan tasks) x (shuffle
+    partitions) blocks: 100 TB runs as about 200,000 scan tasks of 512 MiB and
+    100,000 shuffle partitions of 1 GiB, which sort and spill within an executor.
     """
-    return max(at_least, -(-int(input_bytes) // target_bytes))
+    shuffle = max(1, min(-(-size // (256 * MIB)), 100_000))
+    scan = min(max(128 * MIB, size // 200_000), 1024 * MIB)
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(scan),
+    }
+
+
+def size_for(spark: SparkSession, size: int) -> SparkSession:
+    """Raise the session's scan and shuffle settings to suit ``size``.
+
+    Settings that are already larger stay. Too many shuffle partitions do no harm,
+    as adaptive execution merges the small ones.
+    """
+    for name, value in sizing_for(size).items():
+        if _number(spark.conf.get(name)) < int(value):
+            spark.conf.set(name, value)
+    return spark
+
+
+def _number(setting: str) -> int:
+    """A count or a size such as ``256m`` or ``134217728b`` as a plain number."""
+    digits, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", setting.strip().lower()).groups()
+    return int(digits) * 1024 ** " kmgt".index(unit or " ")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **settings: str) -> SparkSession:
-    """A local session for tests and benchmarks."""
+    """A local session for tests and benchmarks.
+
+    Small row groups and splits let every core take part in reading a small table;
+    on a cluster the defaults do, since there are many more splits than cores.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tierline")
@@ -47,6 +90,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **setting
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.hadoop.parquet.block.size", str(2 * MIB))
+        .config("spark.sql.files.openCostInBytes", str(MIB // 4))
     )
     for name, value in settings.items():
         builder = builder.config(name, value)
