@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from harness.mapped_raw import raw_table
+from tierline_queries.mapped_raw import raw_table
 from tierline.operators import cleaning, quarantine, star
 from tierline.plans.pipeline import write_classified
 from tierline.schemas import CLEAN, RAW, STAR
@@ -19,6 +19,17 @@ from tierline.session import input_bytes, shared_folder, size_for, tune
 from tierline.sources import layer_path, read_table, write_table
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV files with a header that keep the spaces around values."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = size_for(tune(spark), input_bytes(spark, sf_dir))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harness.layers import Layers, layers
+from tierline_queries.layers import Layers, layers, write_csv
 from tierline.operators import analysis, quality, quarantine, star
 from tierline.plans import clean_suite, raw_suite, run_checks, star_suite
 from tierline.plans.suites import delivered_without_date
@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def _csv_round_trip(t: Layers, name: str) -> DataFrame:
     """Write a raw table as CSV files and ingest them again."""
     path = f"{t.root}/csv/{name}"
-    t.raw(name).write.mode("overwrite").option("header", True).csv(path)
+    write_csv(t.raw(name), path)
     back = ingest_raw(t.spark, path, RAW[name])
     lineage = F.col("_ingested_at").isNotNull() & F.col("_source_file").endswith(".csv")
     return back.select(*RAW[name].names, lineage.alias("has_lineage"))
@@ -44,6 +44,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "raw_order_items": lambda t: t.mapped("order_items"),
     "csv_ingest_roundtrip": lambda t: _csv_round_trip(t, "order_items"),
     "csv_ingest_orders": lambda t: _csv_round_trip(t, "orders"),
+    "csv_ingest_customers": lambda t: _csv_round_trip(t, "customers"),
     "clean_categories": lambda t: t.build_clean("categories"),
     "clean_products": lambda t: t.build_clean("products"),
     "clean_customers": lambda t: t.build_clean("customers"),
