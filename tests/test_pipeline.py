@@ -4,8 +4,10 @@ import pytest
 
 from tierline_queries.layers import layers, write_csv
 from helpers import bag
+from tierline.__main__ import main
 from tierline.plans import assert_checks, clean_suite, run, run_checks, star_suite
 from tierline.plans.pipeline import build_star, read_clean, read_raw, read_star
+from tierline.plans.reports import REPORTS
 from tierline.schemas import CLEAN, RAW, STAR
 
 PREFIXES = {
@@ -75,3 +77,17 @@ def test_fact_by_month(spark, loaded, scratch):
     fact = star["fact_order_items"]
     assert bag(fact.drop("purchase_month")) == bag(read_star(spark, loaded[1])["fact_order_items"])
     assert fact.filter("purchase_month <> date_format(purchase_ts, 'yyyy-MM')").count() == 0
+
+
+def test_command_line(spark, loaded, scratch, capsys):
+    inputs, _ = loaded
+    root = f"{scratch}/cli"
+    assert main(["load", inputs, root, "--exact"]) == 0
+    assert main(["check", root, "gold"]) == 0
+    assert main(["check", root, "silver", "--exact"]) == 1
+    assert "FAILED orders: negative delivery days" in capsys.readouterr().out
+    assert main(["check", root, "bronze", "--public-volumes"]) == 1
+    assert "FAILED orders: row count" in capsys.readouterr().out
+    for name in REPORTS:
+        assert main(["report", root, name]) == 0
+    assert "running_total_revenue" in capsys.readouterr().out

@@ -48,6 +48,29 @@ def test_orphans(spark, df):
     assert bag(keys) == [("b",), ("c",)]
 
 
+def test_orphans_with_hot_keys_on_both_sides(spark, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold="0",
+    )
+    key = "if(id % 3 = 0, 'hot', concat('k', id % 5000)) AS k"
+    child = spark.range(0, 60_000, 1, 8).selectExpr(key, "uuid() AS payload")
+    parent = spark.range(0, 30_000, 1, 8).selectExpr(
+        "if(id % 3 = 0, 'other', concat('k', id % 2500)) AS k"
+    )
+    found = quality.orphans(child, parent, "k")
+    text = final_plan(found)
+    # The child's hot key is split; the parent's copies go before its first shuffle.
+    assert "skew=true" in text
+    assert text.count("HashAggregate(keys=[_parent_key") == 2
+    wanted = sum(1 for i in range(60_000) if i % 3 == 0 or i % 5000 >= 2500)
+    assert found.count() == wanted
+
+
 def test_patterns(df):
     strict = quality.pattern_violations(df, {"v": r"^[0-9]+(\.[0-9]+)?$"})
     assert bag(strict.select("v")) == [("",), ("  ",), ("-3",), (".",), ("x",)]

@@ -58,6 +58,13 @@ def test_reason_priority_and_three_valued_traps(spark, refs):
     assert every == Counter(wanted for _, wanted in cases)
 
 
+def test_repeated_reference_keys_add_no_rows(spark):
+    df = text_frame(spark, ["k"], [("a",), ("b",), (None,)])
+    parent = text_frame(spark, ["k"], [("a",), ("a",), ("a",), (None,), (None,)])
+    got = q.classify(df, [q.Reference(parent, "k", "missing", unique=False)], [])
+    assert bag(got) == [(None, "missing"), ("a", None), ("b", "missing")]
+
+
 def test_items_are_typed_and_unique(spark, refs):
     classified = q.classify_order_items(
         text_frame(

@@ -26,6 +26,19 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
     )
 
 
+def unique_keys(df: DataFrame, column: str, alias: str) -> DataFrame:
+    """The distinct values of a key, for the lookup side of a join.
+
+    Copies are dropped before the shuffle, so a value that fills a third of the
+    rows is sent once per map task. Keeping the key and its hash distinct, not
+    the key alone, leaves the join to shuffle by the key itself: only then can
+    adaptive execution split a hot key on the join's other side.
+    """
+    key = F.col(column)
+    hashed = df.select(key.alias(alias), F.xxhash64(key).alias("_hash"))
+    return hashed.distinct().select(alias)
+
+
 def keep_referenced(
     df: DataFrame, parent: DataFrame, on: str, *, collation: str | None = None
 ) -> DataFrame:

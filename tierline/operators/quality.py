@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import is_present, to_type
+from tierline.operators.cleaning import unique_keys
 
 
 def any_of(conditions: Sequence[Column]) -> Column:
@@ -71,17 +72,23 @@ def orphans(
     parent_key: str | None = None,
     ignore_null: bool = False,
     distinct: bool = False,
+    unique_parent: bool = False,
 ) -> DataFrame:
     """Child rows whose key is not in ``parent``; with ``distinct`` only the keys.
 
-    A NULL child key is an orphan unless ``ignore_null``. Distinct keys are taken
-    before the join, so a hot key is shuffled once per map task.
+    A NULL child key is an orphan unless ``ignore_null``. Repeated parent keys, and
+    with ``distinct`` repeated child keys, are dropped before the shuffle; a parent
+    that is known to hold each key once goes straight into the join.
     """
     if ignore_null:
         child = child.filter(F.col(on).isNotNull())
     if distinct:
         child = child.select(on).distinct()
-    known = parent.select(F.col(parent_key or on).alias("_parent_key"))
+    column = parent_key or on
+    if unique_parent:
+        known = parent.select(F.col(column).alias("_parent_key"))
+    else:
+        known = unique_keys(parent, column, "_parent_key")
     return child.join(known, child[on] == known["_parent_key"], "left_anti")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import matches, to_type
-from tierline.operators.cleaning import dedup_first
+from tierline.operators.cleaning import dedup_first, unique_keys
 from tierline.schemas import AMOUNT, CLEAN, conform
 
 REASON = "rejection_reason"
@@ -33,12 +33,14 @@ SLICES = 65_536
 class Reference:
     """Rows whose ``key`` is missing from ``frame`` are rejected for ``reason``.
 
-    ``frame`` must hold each key once, as a clean table does.
+    A clean table holds each key once. For any other frame set ``unique`` to false,
+    and its repeated keys are dropped first.
     """
 
     frame: DataFrame
     key: str
     reason: str
+    unique: bool = True
 
 
 @dataclass(frozen=True)
@@ -64,7 +66,11 @@ def classify(df: DataFrame, references: Sequence[Reference], rules: Sequence[Rul
     flags = [f"_found_{i}" for i in range(len(references))]
     joined = df
     for flag, ref in reversed(list(zip(flags, references))):
-        known = ref.frame.select(F.col(ref.key).alias("_key"), F.lit(True).alias(flag))
+        if ref.unique:
+            known = ref.frame.select(F.col(ref.key).alias("_key"))
+        else:
+            known = unique_keys(ref.frame, ref.key, "_key")
+        known = known.withColumn(flag, F.lit(True))
         joined = joined.join(known, joined[ref.key] == known["_key"], "left").drop("_key")
 
     checks = [(F.col(flag).isNotNull(), ref.reason) for flag, ref in zip(flags, references)]

@@ -76,6 +76,7 @@ class OrphanCheck:
     parent_key: str
     ignore_null: bool = False
     distinct: bool = False
+    unique_parent: bool = False
 
 
 @dataclass(frozen=True)
@@ -144,7 +145,12 @@ def _orphan_check(child: DataFrame, parent: DataFrame, check: OrphanCheck) -> Da
     weight = F.max(F.lit(1).cast("long")) if check.distinct else F.count(F.lit(1))
     per_key = child.groupBy(check.on).agg(weight.alias("_n"))
     lost = orphans(
-        per_key, parent, check.on, parent_key=check.parent_key, ignore_null=check.ignore_null
+        per_key,
+        parent,
+        check.on,
+        parent_key=check.parent_key,
+        ignore_null=check.ignore_null,
+        unique_parent=check.unique_parent,
     )
     total = lost.agg(F.coalesce(F.sum("_n"), _long(0)).alias("_n"))
     return total.select(F.inline(F.array(_result(check, F.col("_n"), _long(0)))))

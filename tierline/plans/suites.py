@@ -164,6 +164,7 @@ def constraint_checks(tables: Mapping[str, Table]) -> list[Check]:
                     fk.parent,
                     fk.parent_column,
                     ignore_null=fk.column not in required,
+                    unique_parent=tables[fk.parent].key == (fk.parent_column,),
                 )
             )
     return checks

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tierline_queries.layers import Layers, layers, write_csv
 from tierline.operators import analysis, quality, quarantine, star
 from tierline.plans import clean_suite, raw_suite, run_checks, star_suite
+from tierline.plans.reports import REPORTS
 from tierline.plans.suites import delivered_without_date
 from tierline.schemas import AMOUNT, RAW
 from tierline.sources import count_tables, create_layers, ingest_raw, list_layer, register_table
@@ -27,6 +28,10 @@ def _csv_round_trip(t: Layers, name: str) -> DataFrame:
     return back.select(*RAW[name].names, lineage.alias("has_lineage"))
 
 
+def _report(name: str) -> Callable[[Layers], DataFrame]:
+    return lambda t: REPORTS[name](t.all_star())
+
+
 def _table_listing(t: Layers) -> DataFrame:
     """Register the star layer in the catalog, then list it from there."""
     layer = "gold_" + t.root.rsplit("-", 1)[-1]
@@ -59,33 +64,12 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "fact_order_items": lambda t: star.build_fact_order_items(
         t.clean("order_items"), t.clean("orders"), t.clean("customers")
     ),
-    "monthly_trend": lambda t: analysis.monthly_trend(t.star("fact_order_items")),
-    "running_revenue": lambda t: analysis.running_revenue(t.star("fact_order_items")),
+    **{name: _report(name) for name in REPORTS},
+    "table_listing": _table_listing,
     "spend_segments": lambda t: analysis.spend_segments(
         t.star("dim_customers"), (("High Value", 1_500_000), ("Mid Value", 900_000))
     ),
     "spend_segments_default": lambda t: analysis.spend_segments(t.star("dim_customers")),
-    "purchase_range": lambda t: analysis.purchase_range(t.star("fact_order_items")),
-    "price_range": lambda t: analysis.price_range(t.star("fact_order_items")),
-    "delivery_range": lambda t: analysis.delivery_range(t.star("fact_order_items")),
-    "table_listing": _table_listing,
-    "category_list": lambda t: analysis.category_list(t.star("dim_products")),
-    "state_list": lambda t: analysis.state_list(t.star("dim_customers")),
-    "delivery_performance": lambda t: analysis.delivery_performance(
-        t.star("fact_order_items"), t.star("dim_customers")
-    ),
-    "delivery_performance_by_order": lambda t: analysis.delivery_performance_by_order(
-        t.star("fact_order_items"), t.star("dim_customers")
-    ),
-    "revenue_by_state": lambda t: analysis.revenue_by_state(
-        t.star("fact_order_items"), t.star("dim_customers")
-    ),
-    "top_products": lambda t: analysis.top_products(
-        t.star("fact_order_items"), t.star("dim_products")
-    ),
-    "top_categories": lambda t: analysis.top_categories(
-        t.star("fact_order_items"), t.star("dim_products")
-    ),
     "dq_duplicate_keys": lambda t: quality.duplicate_keys(
         t.raw("order_items"), ["order_id", "order_item_id"]
     ),
