@@ -48,10 +48,11 @@ def test_categories_one_row_per_name(spark):
         raw(
             spark,
             "product_category_translation",
-            [("a", "y"), ("a", "x"), ("a", "x"), ("", "blank"), ("  ", "b"), (None, "n")],
+            [("a", "y"), ("a", "x"), ("a", "x"), ("a", " "), ("a", None), ("", "blank"),
+             ("  ", "b"), (None, "n"), ("z", "")],
         )
     )
-    assert bag(got) == [("a", "x")]
+    assert bag(got) == [("a", "x"), ("z", "")]
 
 
 def test_products(spark):

@@ -65,10 +65,12 @@ def drop_blank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def build_categories(raw: DataFrame) -> DataFrame:
     """Category lookup: one row per non-blank name.
 
-    Of two translations of one name the first in text order stays.
+    Of two translations of one name the first in text order stays, where a blank
+    one comes last.
     """
     named = drop_blank(raw, ["product_category_name"]).select(*CLEAN["categories"].schema.names)
-    return dedup_first(named, ["product_category_name"], ["product_category_name_english"])
+    english = "product_category_name_english"
+    return dedup_first(named, ["product_category_name"], [~is_present(english), english])
 
 
 def build_products(
