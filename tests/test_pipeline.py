@@ -5,10 +5,11 @@ import pytest
 from tierline_queries.layers import layers, write_csv
 from helpers import bag
 from tierline.__main__ import main
-from tierline.plans import assert_checks, clean_suite, run, run_checks, star_suite
+from tierline.plans import assert_checks, clean_suite, register, run, run_checks, star_suite
 from tierline.plans.pipeline import build_star, read_clean, read_raw, read_star
 from tierline.plans.reports import REPORTS
 from tierline.schemas import CLEAN, RAW, STAR
+from tierline.sources import count_tables, create_layers, list_layer
 
 PREFIXES = {
     "product_category_translation": "product_category_name_translation",
@@ -79,6 +80,34 @@ def test_fact_by_month(spark, loaded, scratch):
     assert fact.filter("purchase_month <> date_format(purchase_ts, 'yyyy-MM')").count() == 0
 
 
+def test_registered_layers_answer_sql(spark, loaded):
+    """The kind of statement a user of the original brings along, in plain SQL."""
+    _, root = loaded
+    register(spark, root, prefix="unit_")
+    star = read_star(spark, root)
+    ranking = spark.sql(
+        """
+        SELECT category_english, round(sum(price), 2) AS revenue
+        FROM unit_gold.fact_order_items JOIN unit_gold.dim_products USING (product_id)
+        GROUP BY category_english ORDER BY revenue DESC, category_english LIMIT 10
+        """
+    )
+    wanted = REPORTS["top_categories"](star).select("category_english", "total_revenue")
+    assert [tuple(r) for r in ranking.collect()] == [tuple(r) for r in wanted.collect()]
+    missing = spark.sql(
+        """
+        SELECT i.order_id FROM unit_silver.order_items i
+        LEFT JOIN unit_silver.orders o ON i.order_id = o.order_id WHERE o.order_id IS NULL
+        """
+    )
+    assert missing.count() == 0
+    assert spark.table("unit_bronze.order_items").count() == read_raw(spark, root)["order_items"].count()
+    assert bag(list_layer(spark, "unit_gold")) == bag(count_tables(star))
+    create_layers(spark, ["unit_bronze", "unit_silver", "unit_gold"], drop_existing=True)
+    # Dropping a registered layer leaves its files alone.
+    assert star["fact_order_items"].count() > 0
+
+
 def test_command_line(spark, loaded, scratch, capsys):
     inputs, _ = loaded
     root = f"{scratch}/cli"

@@ -3,6 +3,7 @@ import pytest
 from helpers import bag, rows, text_frame
 from tierline import session, sources
 from tierline.schemas import RAW
+from tierline.session import MIB
 
 LOOKUP = RAW["product_category_translation"]
 
@@ -118,17 +119,19 @@ def test_sizing(spark, tmp_path, settings):
     write(tmp_path / "y" / "z", "b.bin", b"1" * 500)
     assert session.input_bytes(spark, str(tmp_path)) == 1500
     small, huge = session.sizing_for(1500), session.sizing_for(100 * 10**12)
-    assert small["spark.sql.shuffle.partitions"] == "1"
-    assert huge == {
-        "spark.sql.shuffle.partitions": "100000",
-        "spark.sql.files.maxPartitionBytes": str(500 * 10**6),
-    }
+    assert list(small.values()) == ["1", str(128 * MIB), str(64 * MIB), str(64 * MIB)]
+    assert list(huge.values()) == ["100000", str(500 * 10**6), str(250 * 10**6), str(250 * 10**6)]
     settings(
-        spark__sql__shuffle__partitions="7", spark__sql__files__maxPartitionBytes="256m"
+        spark__sql__shuffle__partitions="7",
+        spark__sql__files__maxPartitionBytes="256m",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="1k",
+        spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold="1k",
     )
     session.size_for(spark, 1500)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "256m"
+    piece = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    assert spark.conf.get(piece) == str(64 * MIB)
     session.size_for(spark, 100 * 10**12)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "100000"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(500 * 10**6)

@@ -9,7 +9,7 @@ from tierline.plans.checks import (
     assert_checks,
     run_checks,
 )
-from tierline.plans.pipeline import build_clean, build_star, ingest_layer, run
+from tierline.plans.pipeline import build_clean, build_star, ingest_layer, register, run
 from tierline.plans.suites import clean_suite, raw_suite, star_suite
 
 __all__ = [
@@ -26,6 +26,7 @@ __all__ = [
     "clean_suite",
     "ingest_layer",
     "raw_suite",
+    "register",
     "run",
     "run_checks",
     "star_suite",

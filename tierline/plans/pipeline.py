@@ -11,7 +11,14 @@ from tierline.functions import month_of
 from tierline.operators import cleaning, quarantine, star
 from tierline.schemas import CLEAN, LINEAGE, RAW, RAW_FILES, STAR
 from tierline.session import input_bytes, size_for, tune
-from tierline.sources import ingest_raw, layer_path, read_table, write_table
+from tierline.sources import (
+    create_layers,
+    ingest_raw,
+    layer_path,
+    read_table,
+    register_table,
+    write_table,
+)
 
 RAW_LAYER, CLEAN_LAYER, STAR_LAYER, WORK_LAYER = "bronze", "silver", "gold", "work"
 
@@ -153,6 +160,18 @@ def build_star(
     return tables
 
 
+def register(spark: SparkSession, root: str, *, prefix: str = "") -> None:
+    """Name the loaded tables in the catalog, one database per layer.
+
+    Afterwards any SQL over ``bronze.*``, ``silver.*`` and ``gold.*`` runs as is.
+    """
+    layers = {RAW_LAYER: RAW, CLEAN_LAYER: CLEAN, STAR_LAYER: STAR}
+    create_layers(spark, [prefix + layer for layer in layers], root=f"{root.rstrip('/')}/catalog")
+    for layer, names in layers.items():
+        for name in names:
+            register_table(spark, prefix + layer, name, layer_path(root, layer, name))
+
+
 def run(
     spark: SparkSession,
     input_dir: str,

@@ -36,11 +36,20 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
-    """Size of the files under ``paths``, from their listing; no file is opened."""
+    """Size of the files under ``paths``, from their listing; no file is opened.
+
+    The listing is packed into about one task per core while it is summed.
+    """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     )
-    return listing.agg(F.sum("length")).first()[0] or 0
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(1024 * 1024 * MIB))
+    try:
+        return listing.agg(F.sum("length")).first()[0] or 0
+    finally:
+        spark.conf.set(setting, before)
 
 
 def sizing_for(size: int) -> dict[str, str]:
@@ -48,14 +57,20 @@ def sizing_for(size: int) -> dict[str, str]:
 
     Tasks stay near 256 MiB while that gives a manageable number of them. Above
     that the tasks grow instead, because a shuffle moves (scan tasks) x (shuffle
-    partitions) blocks: 100 TB runs as about 200,000 scan tasks of 512 MiB and
+    partitions) blocks: 100 TB runs as about 200,000 scan tasks of 500 MB and
     100,000 shuffle partitions of 1 GiB, which sort and spill within an executor.
+    The pieces a hot partition is split into grow likewise, up to 256 MiB, and so
+    does the size up to which a join's smaller side is hashed: Spark wants it at
+    least as large as those pieces.
     """
     shuffle = max(1, min(-(-size // (256 * MIB)), 100_000))
     scan = min(max(128 * MIB, size // 200_000), 1024 * MIB)
+    piece = min(max(64 * MIB, size // 400_000), 256 * MIB)
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(scan),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(piece),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(piece),
     }
 
 
