@@ -52,6 +52,13 @@ def test_classification_reads_items_once_and_keys_only(tables, shuffled):
     assert len(exchanges(text)) == 4  # items and keys, once for each reference
 
 
+def test_each_half_of_the_split_reads_its_own_files(tables):
+    for name, condition in (("order_items", "NOT is_rejected"), ("quarantine_order_items", "is_rejected")):
+        text = tables.build_clean(name)._jdf.queryExecution().toString()
+        partition = re.search(r"PartitionFilters: \[([^\]]*)\]", text).group(1)
+        assert condition in re.sub(r"#\d+", "", partition)
+
+
 def test_fact_shuffles_items_once(tables, shuffled):
     items = tables.clean("order_items")
     text = final_plan(tables.build_star("fact_order_items"))

@@ -14,6 +14,7 @@ from tierline.operators.cleaning import dedup_first, unique_keys
 from tierline.schemas import AMOUNT, CLEAN, conform
 
 REASON = "rejection_reason"
+REJECTED = "is_rejected"
 SLICE = "row_slice"
 
 # The reasons stored with rejected line items and the shapes of
@@ -79,12 +80,19 @@ def classify(df: DataFrame, references: Sequence[Reference], rules: Sequence[Rul
     return joined.withColumn(REASON, F.coalesce(*reasons, F.lit(None).cast("string"))).drop(*flags)
 
 
+def _good(classified: DataFrame) -> Column:
+    """The accepted rows; by partition where the table is stored by outcome."""
+    if REJECTED in classified.columns:
+        return ~F.col(REJECTED)
+    return F.col(REASON).isNull()
+
+
 def accepted(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col(REASON).isNull()).drop(REASON)
+    return classified.filter(_good(classified)).drop(REASON, REJECTED)
 
 
 def rejected(classified: DataFrame) -> DataFrame:
-    return classified.filter(F.col(REASON).isNotNull())
+    return classified.filter(~_good(classified)).drop(REJECTED)
 
 
 def with_slice(df: DataFrame, slices: int = SLICES) -> DataFrame:
@@ -182,9 +190,9 @@ def build_exact_quarantine(classified: DataFrame) -> DataFrame:
     With these, accepted and quarantined rows add up to the raw row count.
     ``classified`` is a written table carrying :func:`with_slice`.
     """
-    numbered = classified.withColumn("_item", _item_number())
+    numbered = accepted(classified).withColumn("_item", _item_number())
     ranked = mark_duplicates(
-        numbered.filter(F.col(REASON).isNull()),
+        numbered,
         ["order_id", "_item"],
         ["order_item_id", *ITEM_ORDER],
     )

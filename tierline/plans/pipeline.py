@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.functions import month_of
 from tierline.operators import cleaning, quarantine, star
@@ -115,13 +116,16 @@ def write_classified(
 
     Writing cuts the lineage: a lost executor repeats a scan, not the joins. It
     also leaves the joins free to split hot keys, since nothing above them relies
-    on how their output is partitioned.
+    on how their output is partitioned. Good and rejected rows are stored apart, so
+    each half of the split reads only its own files.
     """
     classified = quarantine.with_slice(
         quarantine.classify_order_items(raw_items, orders, products)
     )
-    write_table(classified, path)
-    return read_table(spark, path, classified.schema)
+    outcome = F.col(quarantine.REASON).isNotNull().alias(quarantine.REJECTED)
+    stored = classified.select("*", outcome)
+    write_table(stored, path, [quarantine.REJECTED], gather=False)
+    return read_table(spark, path, stored.schema)
 
 
 def build_star(

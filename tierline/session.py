@@ -19,12 +19,16 @@ MIB = 1024 * 1024
 #
 # maxShuffledHashJoinLocalMapThreshold: where every partition of a join's smaller
 # side turns out this small, hash it instead of sorting both sides.
+#
+# maxConcurrentOutputFileWriters: a task that writes a few partition values keeps
+# their files open side by side instead of sorting its rows by value first.
 RUNTIME_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MIB),
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 

@@ -12,14 +12,18 @@ def layer_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def write_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), *, gather: bool = True
+) -> None:
     """Replace the table at ``path``; running a load twice gives the same table.
 
     With ``partition_by`` rows are first gathered by those columns through a
     rebalance, which merges small partition values and splits large ones into
-    several files, so one busy month is not written by a single task.
+    several files, so one busy month is not written by a single task. For columns
+    of a few values ``gather=False`` saves that shuffle: each task then writes one
+    file per value.
     """
-    if partition_by:
+    if partition_by and gather:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
