@@ -6,7 +6,6 @@ import duckdb
 import pytest
 
 from helpers import text_frame
-
 from tierline.plans.pipeline import build_clean, build_star
 from tierline.schemas import RAW
 from tierline_queries import oracle
@@ -34,7 +33,16 @@ def dirty(seed):
             f"{rng.randrange(24):02d}:{rng.randrange(60):02d}:{pick(['00', '59'])}"
         )
 
-    amount = lambda: pick(NUMBERS) if rng.random() < 0.2 else f"{rng.randrange(900)}.{rng.randrange(100):02d}"
+    def amount():
+        if rng.random() < 0.2:
+            return pick(NUMBERS)
+        return f"{rng.randrange(900)}.{rng.randrange(100):02d}"
+
+    def number():
+        if rng.random() < 0.3:
+            return pick(["1", "2", "01", "x", "", None, "3.0", "99999999999"])
+        return str(rng.randrange(1, 5))
+
     return {
         "product_category_translation": [
             (key("cat", 6, 0.2), pick(["A", "B", "", None])) for _ in range(15)
@@ -54,9 +62,7 @@ def dirty(seed):
             for _ in range(250)
         ],
         "order_items": [
-            (key("o", 160), pick(["1", "2", "01", "x", "", None, "3.0", "99999999999"]) if
-             rng.random() < 0.3 else str(rng.randrange(1, 5)), key("p", 45), key("s", 5), "d",
-             amount(), amount())
+            (key("o", 160), number(), key("p", 45), key("s", 5), "d", amount(), amount())
             for _ in range(900)
         ],
     }
