@@ -6,12 +6,14 @@ import os
 import duckdb
 import pytest
 
+from tierline_queries import oracle, registry
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 spec = importlib.util.spec_from_file_location("spark_entry", f"{ROOT}/__spark_entry__.py")
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), oracle.statements()
 TABLES = "region nation customer supplier part orders lineitem".split()
 TYPES = {
     "string": "VARCHAR",
