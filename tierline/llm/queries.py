@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import packing, token_files
+from tierline.llm import packing, quality, secrets, token_files
 from tierline.llm.common import Store, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,13 +20,22 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, path)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"), Store(spark))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return quality.judge(docs, labels, Store(spark))
+
+
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op6_token_files, op10_pattern_packing]
+    found = [op6_token_files, op7_secret_scan, op8_quality_rules, op10_pattern_packing]
     return {f.__name__: f for f in found}
 
 

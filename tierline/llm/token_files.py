@@ -45,18 +45,15 @@ SEGMENT_BYTES = 4 * 1024 * 1024
 def train_dictionary(
     docs: DataFrame, vocabulary: str, *, id_column: str = "doc_id", text_column: str = "text"
 ) -> bytes:
-    """Dictionary for the id arrays of ``docs``, from the rows of smallest id hash.
+    """Dictionary for the id arrays of ``docs``, from about ``SAMPLE_DOCS`` rows.
 
     Where the sample is too small to train on, its own id arrays are the dictionary.
     """
+    rows = max(1, docs.count())
     sample = (
-        docs.select(
-            F.xxhash64(id_column, text_column).alias("at"),
-            F.substring(text_column, 1, SAMPLE_CHARS).alias("text"),
-        )
-        .orderBy("at")
-        .limit(SAMPLE_DOCS)
-        .select("text")
+        docs.where(F.pmod(F.xxhash64(id_column, text_column), F.lit(rows)) < SAMPLE_DOCS)
+        .select(F.substring(text_column, 1, SAMPLE_CHARS).alias("text"))
+        .limit(2 * SAMPLE_DOCS)
     )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +135,10 @@ def write_tokens(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(vocabulary, True).encode, struct.pack("<I", end_id)
-        packer = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary))
+        shared = _dictionary(dictionary)
+        if shared:
+            shared.precompute_compress(level=3)
+        packer = zstandard.ZstdCompressor(level=3, dict_data=shared)
         part = TaskContext.get().partitionId()
         start, tokens, held, size = 0, 0, [], 0
 
