@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import packing, quality, secrets, token_files
+from tierline.llm import packing, quality, secrets, simhash, token_files
 from tierline.llm.common import Store, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Store(spark))
+    return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Store(spark).path("tokens")
     docs = table(spark, sf_dir, "documents")
@@ -35,7 +40,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op6_token_files, op7_secret_scan, op8_quality_rules, op10_pattern_packing]
+    found = [op3_simhash_golay, op6_token_files, op7_secret_scan, op8_quality_rules, op10_pattern_packing]
     return {f.__name__: f for f in found}
 
 
