@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import packing, quality, secrets, simhash, token_files
+from tierline.llm import edit_counts, html_text, packing, quality, secrets, simhash, token_files
 from tierline.llm.common import Store, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Store(spark).path("tokens")
     docs = table(spark, sf_dir, "documents")
@@ -34,13 +38,28 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, labels, Store(spark))
 
 
+def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents")
+    trees = Store(spark).keep(edit_counts.build_trees(docs, vocabulary), "trees")
+    return edit_counts.count_after(trees, edit_counts.sample_edits(), vocabulary)
+
+
 def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op3_simhash_golay, op6_token_files, op7_secret_scan, op8_quality_rules, op10_pattern_packing]
+    found = [
+        op3_simhash_golay,
+        op5_text_density,
+        op6_token_files,
+        op7_secret_scan,
+        op8_quality_rules,
+        op9_edit_counts,
+        op10_pattern_packing,
+    ]
     return {f.__name__: f for f in found}
 
 
