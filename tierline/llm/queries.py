@@ -7,12 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import edit_counts, html_text, packing, quality, secrets, simhash, token_files
+from tierline.llm import edit_counts, html_text, packing, quality, repeats, secrets, simhash, token_files
 from tierline.llm.common import Store, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return repeats.digest(repeats.remove_repeats(docs, Store(spark)))
+
+
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Store(spark))
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
@@ -52,6 +57,7 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = [
+        op1_repeated_strings,
         op3_simhash_golay,
         op5_text_density,
         op6_token_files,
