@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierline.llm import edit_counts, html_text, packing, quality, repeats, secrets, simhash, token_files
+import corpus_pipeline
+
+from tierline.llm import edit_counts, html_text, mixing, neighbours, packing, quality, repeats, secrets, simhash, token_files
 from tierline.llm.common import Store, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,11 +21,24 @@ def op1_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(docs, Store(spark)))
 
 
+def op2_sharded_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = Store(spark)
+    embeddings = table(spark, sf_dir, "embeddings")
+    vectors = store.keep(neighbours.usable_vectors(embeddings, "vec_id", "embedding"), "vectors")
+    index = neighbours.build_index(vectors, store)
+    return neighbours.search(index, vectors.where(F.col("id") % 100 == 0))
+
+
 def op3_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), Store(spark))
     return found.select("doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id")
 
 
+def op4_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return mixing.mix_rates(docs, labels, Store(spark))
+
+
 def op5_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -58,7 +74,9 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     found = [
         op1_repeated_strings,
+        op2_sharded_graphs,
         op3_simhash_golay,
+        op4_soft_mixing,
         op5_text_density,
         op6_token_files,
         op7_secret_scan,
@@ -66,7 +84,7 @@ def queries() -> dict[str, Query]:
         op9_edit_counts,
         op10_pattern_packing,
     ]
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
