@@ -91,9 +91,9 @@ def size_for(spark: SparkSession, size: int) -> SparkSession:
 
 
 def _number(setting: str) -> int:
-    """A count or a size such as ``256m`` or ``134217728b`` as a plain number."""
-    digits, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", setting.strip().lower()).groups()
-    return int(digits) * 1024 ** " kmgt".index(unit or " ")
+    """A count or a size such as ``256m`` or ``134217728b`` as a plain number, ``-1`` too."""
+    digits, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(digits) * 1024 ** " kmgtp".index(unit or " ")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **settings: str) -> SparkSession:

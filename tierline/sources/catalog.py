@@ -36,10 +36,18 @@ def publish_table(df: DataFrame, layer: str, table: str) -> DataFrame:
 
 
 def register_table(spark: SparkSession, layer: str, table: str, path: str) -> DataFrame:
-    """Name an already written parquet table in the catalog; no data moves."""
+    """Name an already written parquet table in the catalog; no data moves.
+
+    The catalog lists the folders of a partitioned table itself, so they are recovered.
+    """
     create_layers(spark, [layer])
-    spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{table}`")
-    return spark.catalog.createTable(f"`{layer}`.`{table}`", path=path, source="parquet")
+    name = f"`{layer}`.`{table}`"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -56,4 +64,6 @@ def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
 def list_layer(spark: SparkSession, layer: str) -> DataFrame:
     """The tables the catalog knows in one layer, with exact row counts."""
     names = [t.name for t in spark.catalog.listTables(layer) if not t.isTemporary]
+    if not names:
+        return spark.createDataFrame([], "table_name string, table_rows bigint")
     return count_tables({name: spark.table(f"`{layer}`.`{name}`") for name in names})

@@ -29,6 +29,8 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    # Tables registered at this path must list the new files on their next read.
+    df.sparkSession.catalog.refreshByPath(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline_queries.layers import Layers, layers, write_csv
+from tierline.functions import month_of
 from tierline.operators import analysis, quality, quarantine, star
 from tierline.plans import clean_suite, raw_suite, run_checks, star_suite
 from tierline.plans.reports import REPORTS
-from tierline.plans.suites import delivered_without_date
 from tierline.schemas import AMOUNT, RAW
-from tierline.sources import count_tables, create_layers, ingest_raw, list_layer, register_table
+from tierline.sources import (
+    count_tables,
+    create_layers,
+    ingest_raw,
+    list_layer,
+    register_table,
+    write_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +48,20 @@ def _table_listing(t: Layers) -> DataFrame:
     return list_layer(t.spark, layer)
 
 
+def _registered_fact_by_month(t: Layers) -> DataFrame:
+    """Store the fact by month, load it twice, register it and report from the catalog."""
+    layer, path = "months_" + t.root.rsplit("-", 1)[-1], f"{t.root}/by_month/fact_order_items"
+    create_layers(t.spark, [layer], root=f"{t.root}/catalog")
+    by_month = t.star("fact_order_items").withColumn("purchase_month", month_of("purchase_ts"))
+    for _ in range(2):
+        write_table(by_month, path, ["purchase_month"])
+        fact = register_table(t.spark, layer, "fact_order_items", path)
+    return fact.groupBy("purchase_month").agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.sum("price").cast("decimal(20,2)").alias("total_revenue"),
+    )
+
+
 OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "raw_categories": lambda t: t.mapped("product_category_translation"),
     "raw_products": lambda t: t.mapped("products"),
@@ -50,6 +71,8 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "csv_ingest_roundtrip": lambda t: _csv_round_trip(t, "order_items"),
     "csv_ingest_orders": lambda t: _csv_round_trip(t, "orders"),
     "csv_ingest_customers": lambda t: _csv_round_trip(t, "customers"),
+    "csv_ingest_products": lambda t: _csv_round_trip(t, "products"),
+    "csv_ingest_categories": lambda t: _csv_round_trip(t, "product_category_translation"),
     "clean_categories": lambda t: t.build_clean("categories"),
     "clean_products": lambda t: t.build_clean("products"),
     "clean_customers": lambda t: t.build_clean("customers"),
@@ -66,6 +89,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     **{name: _report(name) for name in REPORTS},
     "table_listing": _table_listing,
+    "registered_fact_by_month": _registered_fact_by_month,
     "spend_segments": lambda t: analysis.spend_segments(
         t.star("dim_customers"), (("High Value", 1_500_000), ("Mid Value", 900_000))
     ),
@@ -93,7 +117,9 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_negative": lambda t: quality.negative_rows(t.clean("orders"), ["delivery_days"]),
     "dq_domain": lambda t: quality.distinct_values(t.raw("orders"), "order_status"),
     "dq_length": lambda t: quality.length_violations(t.clean("customers"), "state", 2),
-    "dq_implication": lambda t: t.raw("orders").filter(delivered_without_date()),
+    "dq_implication": lambda t: quality.implication_violations(
+        t.raw("orders"), F.col("order_status") == "delivered", ["order_delivered_customer_date"]
+    ),
     "dq_count_pair": lambda t: quality.count_pair(
         t.clean("orders"),
         delivered_true=F.col("is_delivered"),
