@@ -1,15 +1,26 @@
 """CSV files to star tables, compared with the layers the queries use."""
 
+import os
+from contextlib import contextmanager
+
 import pytest
 
 from tierline_queries.layers import layers, write_csv
 from helpers import bag
 from tierline.__main__ import main
 from tierline.plans import assert_checks, clean_suite, register, run, run_checks, star_suite
-from tierline.plans.pipeline import build_star, read_clean, read_raw, read_star
+from tierline.plans.pipeline import (
+    build_star,
+    count_malformed,
+    read_accepted,
+    read_clean,
+    read_raw,
+    read_star,
+)
 from tierline.plans.reports import REPORTS
 from tierline.schemas import CLEAN, RAW, STAR
-from tierline.sources import count_tables, create_layers, list_layer
+from tierline.session import RUNTIME_SETTINGS, sized, sizing_for
+from tierline.sources import count_tables, create_layers, ingest_raw, list_layer, malformed_lines
 
 PREFIXES = {
     "product_category_translation": "product_category_name_translation",
@@ -72,6 +83,88 @@ def test_exact_run_accounts_for_every_row(spark, loaded, scratch):
     assert_checks(run_checks("gold", star, star_suite()))
 
 
+def test_one_lost_row_fails_the_suite(spark, loaded):
+    """Rows left out as duplicates are counted, so a row that is just gone shows."""
+    _, root = loaded
+    raw, clean = read_raw(spark, root)["order_items"], read_clean(spark, root)
+    tables = {**clean, "raw_order_items": raw, "accepted_order_items": read_accepted(spark, root)}
+
+    def accounted(tables):
+        found = run_checks("silver", tables, clean_suite({"order_items": raw.count()}))
+        by_name = {r.check_name: r for r in found.collect()}
+        return by_name["every raw row accounted for"], by_name["left out as duplicates"].observed
+
+    line, duplicates = accounted(tables)
+    assert line.passed and duplicates > 0
+    lost = clean["order_items"].first()
+    short = clean["order_items"].filter(
+        f"order_id <> '{lost.order_id}' OR order_item_id <> {lost.order_item_id}"
+    )
+    line, _ = accounted({**tables, "order_items": short})
+    assert not line.passed and line.observed == line.expected - 1
+
+
+def test_line_breaks_and_malformed_records(spark, scratch):
+    folder = f"{scratch}/breaks"
+    os.makedirs(folder)
+    header = ",".join(RAW["customers"].names)
+    with open(f"{folder}/one.csv", "wb") as out:
+        out.write(
+            b"\xef\xbb\xbf" + header.encode() + b'\r\nc1,u1,1,"sao,\npaulo",SP\r\nc2,u2,2,rio,RJ,extra\r\n'
+        )
+    with open(f"{folder}/two.csv", "w") as out:
+        out.write(header + "\nc3,u3,3,rio,RJ\nc4,u4\n")
+    schema = RAW["customers"]
+    back = ingest_raw(spark, folder, schema, multi_line=True)
+    found = {tuple(r) for r in back.select("customer_id", "customer_city", "_source_file").collect()}
+    assert found == {
+        ("c1", "sao,\npaulo", "one.csv"),
+        ("c2", "rio", "one.csv"),
+        ("c3", "rio", "two.csv"),
+        ("c4", "", "two.csv"),
+    }
+    counts = malformed_lines(spark, folder, schema, multi_line=True)
+    assert bag(counts) == bag(
+        spark.createDataFrame([("one.csv", 2, 1), ("two.csv", 2, 1)], counts.schema)
+    )
+
+
+def test_run_keeps_line_breaks_and_counts_malformed(spark, loaded, scratch):
+    inputs, _ = loaded
+    per_table = count_malformed(spark, inputs).groupBy("table_name").sum("malformed_lines")
+    assert dict(per_table.collect()) == {name: 0 for name in RAW}
+
+
+def test_settings_come_back(spark, loaded):
+    _, root = loaded
+    name = "spark.sql.shuffle.partitions"
+    before = {n: spark.conf.get(n, None) for n in [*RUNTIME_SETTINGS, *sizing_for(0)]}
+    spark.conf.set(name, "1")
+    try:
+        with sized(spark, root, max_partitions=4) as inside:
+            assert inside.conf.get("spark.sql.files.maxPartitionBytes")
+        assert spark.conf.get(name) == "1"
+        assert sizing_for(10**14, 10)[name] == "10"
+    finally:
+        spark.conf.set(name, before[name])
+    assert {n: spark.conf.get(n, None) for n in before} == before
+
+
+def test_report_and_check_are_sized(spark, loaded, monkeypatch):
+    seen = []
+
+    @contextmanager
+    def recorded(session, *paths, **_):
+        seen.append(paths)
+        with sized(session, *paths) as inside:
+            yield inside
+
+    monkeypatch.setattr("tierline.__main__.sized", recorded)
+    assert main(["report", loaded[1], "monthly_trend"]) == 0
+    main(["check", loaded[1], "silver"])
+    assert seen == [(loaded[1],)] * 2
+
+
 def test_fact_by_month(spark, loaded, scratch):
     clean = read_clean(spark, loaded[1])
     star = build_star(spark, clean, f"{scratch}/monthly", fact_by_month=True)

@@ -1,6 +1,6 @@
 """Load, check and report from the command line, for ``spark-submit`` or ``python -m``.
 
-    tierline load INPUT_DIR ROOT [--exact] [--escape CHAR]
+    tierline load INPUT_DIR ROOT [--exact] [--escape CHAR] [--multi-line]
     tierline check ROOT {bronze,silver,gold} [--public-volumes] [--exact]
     tierline report ROOT NAME
 """
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierline.plans import clean_suite, pipeline, raw_suite, run_checks, star_suite
 from tierline.plans.reports import REPORTS
 from tierline.plans.suites import PUBLIC_DATA_ROWS
-from tierline.session import tune
+from tierline.session import sized
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -26,6 +26,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("root")
     load.add_argument("--exact", action="store_true", help="also quarantine duplicates")
     load.add_argument("--escape", default="\\", help="escape character inside quotes")
+    load.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
     check = commands.add_parser("check", help="data-quality checks of one layer")
     check.add_argument("root")
     check.add_argument("layer", choices=["bronze", "silver", "gold"])
@@ -46,6 +47,8 @@ def check_layer(
     clean = pipeline.read_clean(spark, root)
     if layer == "silver":
         tables = {**clean, "raw_order_items": pipeline.read_raw(spark, root)["order_items"]}
+        if not exact:
+            tables["accepted_order_items"] = pipeline.read_accepted(spark, root)
         return run_checks(layer, tables, clean_suite(volumes, exact=exact))
     tables = {**pipeline.read_star(spark, root), "order_items": clean["order_items"]}
     return run_checks(layer, tables, star_suite())
@@ -54,12 +57,22 @@ def check_layer(
 def main(arguments: list[str] | None = None) -> int:
     """Exit status 1 if a check failed."""
     options = _parser().parse_args(arguments)
-    spark = tune(SparkSession.builder.appName("tierline").getOrCreate())
+    spark = SparkSession.builder.appName("tierline").getOrCreate()
     if options.command == "load":
         pipeline.run(
-            spark, options.input_dir, options.root, exact=options.exact, escape=options.escape
+            spark,
+            options.input_dir,
+            options.root,
+            exact=options.exact,
+            escape=options.escape,
+            multi_line=options.multi_line,
         )
         return 0
+    with sized(spark, options.root):
+        return _answer(spark, options)
+
+
+def _answer(spark: SparkSession, options: argparse.Namespace) -> int:
     if options.command == "report":
         report = REPORTS[options.name](pipeline.read_star(spark, options.root))
         print("\t".join(report.columns))

@@ -171,6 +171,11 @@ def _typed_items(items: DataFrame) -> DataFrame:
     return conform(typed, CLEAN["order_items"].schema)
 
 
+def accepted_keys(classified: DataFrame) -> DataFrame:
+    """``order_id`` and item number of every accepted line item, duplicates included."""
+    return accepted(classified).select("order_id", _item_number().alias("order_item_id"))
+
+
 def build_order_items(classified: DataFrame) -> DataFrame:
     """Accepted line items, typed, one per order and item number."""
     numbered = accepted(classified).withColumn("_item", _item_number())

@@ -81,7 +81,10 @@ class OrphanCheck:
 
 @dataclass(frozen=True)
 class ReconcileCheck:
-    """Rows of the parts add up to the rows of the whole."""
+    """Rows of the parts add up to the rows of the whole.
+
+    Rows of the ``repeats_in`` table beyond the first of each of ``keys`` count too.
+    """
 
     table: str
     name: str
@@ -89,9 +92,30 @@ class ReconcileCheck:
     expected: int | None = None
     whole: str | None = None
     tolerance: float = 0.0
+    repeats_in: str | None = None
+    keys: tuple[str, ...] = ()
 
 
-Check = RowCheck | CountCheck | PairCheck | DomainCheck | KeyCheck | OrphanCheck | ReconcileCheck
+@dataclass(frozen=True)
+class RepeatCount:
+    """How many rows of ``source`` come after the first of their key; a plain figure."""
+
+    table: str
+    name: str
+    source: str
+    keys: tuple[str, ...]
+
+
+Check = (
+    RowCheck
+    | CountCheck
+    | PairCheck
+    | DomainCheck
+    | KeyCheck
+    | OrphanCheck
+    | ReconcileCheck
+    | RepeatCount
+)
 
 
 def _long(value: int | None) -> Column:
@@ -167,12 +191,25 @@ def _domain_check(df: DataFrame, check: DomainCheck) -> DataFrame:
     return found.select(F.inline(F.array(_result(check, F.col("_n"), expected))))
 
 
+def _repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return per_key.agg(F.coalesce(F.sum(F.col("_rows") - 1), _long(0)).alias("_n"))
+
+
+def _repeat_count(df: DataFrame, check: RepeatCount) -> DataFrame:
+    found = _repeats(df, check.keys)
+    return found.select(F.inline(F.array(_result(check, F.col("_n"), _long(None)))))
+
+
 def _reconcile_check(tables: Mapping[str, DataFrame], check: ReconcileCheck) -> DataFrame:
     def counted(name: str, column: str) -> DataFrame:
         n = tables[name].agg(F.count(F.lit(1)).alias("_n"))
         return n.select(F.lit(column).alias("_side"), "_n")
 
     counts = [counted(part, "part") for part in check.parts]
+    if check.repeats_in is not None:
+        repeats = _repeats(tables[check.repeats_in], check.keys)
+        counts.append(repeats.select(F.lit("part").alias("_side"), "_n"))
     if check.whole is not None:
         counts.append(counted(check.whole, "whole"))
     sums = reduce(DataFrame.unionByName, counts).agg(
@@ -205,6 +242,8 @@ def run_checks(layer: str, tables: Mapping[str, DataFrame], checks: Sequence[Che
             frames.append(_domain_check(tables[check.table], check))
         elif isinstance(check, ReconcileCheck):
             frames.append(_reconcile_check(tables, check))
+        elif isinstance(check, RepeatCount):
+            frames.append(_repeat_count(tables[check.source], check))
     results = reduce(DataFrame.unionByName, frames)
     return results.select(F.lit(layer).alias("layer"), *results.columns)
 

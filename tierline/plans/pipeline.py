@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 from tierline.functions import month_of
 from tierline.operators import cleaning, quarantine, star
 from tierline.schemas import CLEAN, LINEAGE, RAW, RAW_FILES, STAR
-from tierline.session import input_bytes, size_for, tune
+from tierline.session import MAX_PARTITIONS, sized, tune
 from tierline.sources import (
     create_layers,
     ingest_raw,
     layer_path,
+    malformed_lines,
     read_table,
     register_table,
     write_table,
@@ -62,18 +64,40 @@ def ingest_layer(
     *,
     files: Mapping[str, str] = RAW_FILES,
     escape: str = "\\",
+    multi_line: bool = False,
 ) -> Tables:
     """Load the raw layer from the CSV files under ``input_dir``."""
     base = input_dir.rstrip("/")
 
     def load(name: str) -> None:
-        df = ingest_raw(spark, f"{base}/{files[name]}", RAW[name], escape=escape)
+        df = ingest_raw(
+            spark, f"{base}/{files[name]}", RAW[name], escape=escape, multi_line=multi_line
+        )
         write_table(df, layer_path(root, RAW_LAYER, name))
 
     _together(*[lambda name=name: load(name) for name in RAW])
     return read_raw(spark, root)
 
 
+def count_malformed(
+    spark: SparkSession,
+    input_dir: str,
+    *,
+    files: Mapping[str, str] = RAW_FILES,
+    escape: str = "\\",
+    multi_line: bool = False,
+) -> DataFrame:
+    """Malformed records of every input file, with the table each belongs to."""
+    base = input_dir.rstrip("/")
+    counts = [
+        malformed_lines(
+            spark, f"{base}/{files[name]}", RAW[name], escape=escape, multi_line=multi_line
+        ).select(F.lit(name).alias("table_name"), "*")
+        for name in RAW
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def build_clean(spark: SparkSession, raw: Tables, root: str, *, exact: bool = False) -> Tables:
     """Load the clean layer from raw tables.
 
@@ -81,6 +105,7 @@ def build_clean(spark: SparkSession, raw: Tables, root: str, *, exact: bool = Fa
     twice. The classified line items go to a work table, written once and read by
     both halves of the split.
     """
+    tune(spark)
     tables: Tables = {}
 
     def load(name: str, df: DataFrame) -> None:
@@ -110,17 +135,19 @@ def build_clean(spark: SparkSession, raw: Tables, root: str, *, exact: bool = Fa
 
 
 def write_classified(
-    spark: SparkSession, raw_items: DataFrame, orders: DataFrame, products: DataFrame, path: str
+    spark: SparkSession, raw_items: DataFrame, orders: DataFrame, products: DataFrame, path: str,
+    *, slices: int = quarantine.SLICES,
 ) -> DataFrame:
     """Classify the line items into a table that the split reads back.
 
     Writing cuts the lineage: a lost executor repeats a scan, not the joins. It
     also leaves the joins free to split hot keys, since nothing above them relies
     on how their output is partitioned. Good and rejected rows are stored apart, so
-    each half of the split reads only its own files.
+    each half of the split reads only its own files. ``slices`` bounds what one task
+    ranks of a hot key in exact mode; results do not depend on it.
     """
     classified = quarantine.with_slice(
-        quarantine.classify_order_items(raw_items, orders, products)
+        quarantine.classify_order_items(raw_items, orders, products), slices
     )
     outcome = F.col(quarantine.REASON).isNotNull().alias(quarantine.REJECTED)
     stored = classified.select("*", outcome)
@@ -136,6 +163,7 @@ def build_star(
     ``fact_by_month`` adds a ``purchase_month`` column to the fact and stores it in
     one folder per month, for readers that look at a period at a time.
     """
+    tune(spark)
     tables: Tables = {}
 
     def load(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
@@ -183,13 +211,25 @@ def run(
     *,
     files: Mapping[str, str] = RAW_FILES,
     escape: str = "\\",
+    multi_line: bool = False,
     exact: bool = False,
+    max_partitions: int = MAX_PARTITIONS,
 ) -> dict[str, Tables]:
     """Load all three layers under ``output_root``. Repeating a run replaces them.
 
-    ``exact`` also quarantines the duplicates that deduplication leaves out.
+    ``exact`` also quarantines the duplicates that deduplication leaves out;
+    ``multi_line`` keeps line breaks inside quotes. The caller's settings come back.
     """
-    size_for(tune(spark), input_bytes(spark, input_dir))
-    raw = ingest_layer(spark, input_dir, output_root, files=files, escape=escape)
-    clean = build_clean(spark, raw, output_root, exact=exact)
-    return {"bronze": raw, "silver": clean, "gold": build_star(spark, clean, output_root)}
+    with sized(spark, input_dir, max_partitions=max_partitions):
+        raw = ingest_layer(
+            spark, input_dir, output_root, files=files, escape=escape, multi_line=multi_line
+        )
+        clean = build_clean(spark, raw, output_root, exact=exact)
+        gold = build_star(spark, clean, output_root)
+    return {"bronze": raw, "silver": clean, "gold": gold}
+
+
+def read_accepted(spark: SparkSession, root: str) -> DataFrame:
+    """Keys of the accepted line items before dedup, from the load's work table."""
+    path = layer_path(root, WORK_LAYER, "classified_order_items")
+    return quarantine.accepted_keys(read_table(spark, path))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from tierline.plans.checks import (
     OrphanCheck,
     PairCheck,
     ReconcileCheck,
+    RepeatCount,
     RowCheck,
 )
 from tierline.schemas import AMOUNT, CLEAN, STAR, Table
@@ -178,9 +180,10 @@ def clean_suite(
 ) -> list[Check]:
     """Checks on the clean layer: constraints, value ranges, reconciliation.
 
-    Reconciliation compares with the raw line items when the tables include
-    ``raw_order_items``. The default split leaves duplicates out, so it may fall
-    short by their number; with ``exact`` nothing may be missing.
+    Every raw line item must be accounted for: the tables include ``raw_order_items``
+    and, as the default split leaves duplicates out, ``accepted_order_items``, the keys
+    before dedup, by which these are counted. With ``exact`` they are in quarantine.
+    ``tolerance`` is for ``expected_rows`` only.
     """
     expected_rows = expected_rows or {}
     items, rejected = "order_items", "quarantine_order_items"
@@ -224,16 +227,24 @@ def clean_suite(
         CountCheck(rejected, f"rows: {reason}", where=F.col(quarantine.REASON) == reason)
         for reason in reasons
     ]
-    checks.append(
-        ReconcileCheck(
-            items,
-            "good and quarantined rows",
-            (items, rejected),
-            expected=expected_items,
-            whole=None if expected_items is not None else "raw_order_items",
-            tolerance=0.0 if exact else tolerance,
-        )
+    accounted = ReconcileCheck(
+        items, "every raw row accounted for", (items, rejected), whole="raw_order_items"
     )
+    if not exact:
+        accepted, key = "accepted_order_items", CLEAN[items].key
+        accounted = replace(accounted, repeats_in=accepted, keys=key)
+        checks.append(RepeatCount(items, "left out as duplicates", accepted, key))
+    checks.append(accounted)
+    if expected_items is not None:
+        checks.append(
+            ReconcileCheck(
+                items,
+                "good and quarantined rows",
+                (items, rejected),
+                expected=expected_items,
+                tolerance=tolerance,
+            )
+        )
     return checks
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +58,11 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
         spark.conf.set(setting, before)
 
 
-def sizing_for(size: int) -> dict[str, str]:
+# Most shuffle partitions asked for; past about 25 TB the partitions grow instead.
+MAX_PARTITIONS = 100_000
+
+
+def sizing_for(size: int, max_partitions: int = MAX_PARTITIONS) -> dict[str, str]:
     """Scan and shuffle settings for an input of ``size`` bytes.
 
     Tasks stay near 256 MiB while that gives a manageable number of them. Above
@@ -65,10 +71,10 @@ def sizing_for(size: int) -> dict[str, str]:
     100,000 shuffle partitions of 1 GiB, which sort and spill within an executor.
     The pieces a hot partition is split into grow likewise, up to 256 MiB, and so
     does the size up to which a join's smaller side is hashed: Spark wants it at
-    least as large as those pieces.
+    least as large as those pieces. Raise ``max_partitions`` for far larger inputs.
     """
-    shuffle = max(1, min(-(-size // (256 * MIB)), 100_000))
-    scan = min(max(128 * MIB, size // 200_000), 1024 * MIB)
+    shuffle = max(1, min(-(-size // (256 * MIB)), max_partitions))
+    scan = min(max(128 * MIB, size // (2 * max_partitions)), 1024 * MIB)
     piece = min(max(64 * MIB, size // 400_000), 256 * MIB)
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -78,18 +84,40 @@ def sizing_for(size: int) -> dict[str, str]:
     }
 
 
-def size_for(spark: SparkSession, size: int) -> SparkSession:
+def size_for(
+    spark: SparkSession, size: int, max_partitions: int = MAX_PARTITIONS
+) -> SparkSession:
     """Raise the session's scan and shuffle settings to suit ``size``.
 
     Settings that are already larger stay. Too many shuffle partitions do no harm,
     as adaptive execution merges the small ones.
     """
-    for name, value in sizing_for(size).items():
+    for name, value in sizing_for(size, max_partitions).items():
         if _number(spark.conf.get(name)) < int(value):
             spark.conf.set(name, value)
     return spark
 
 
+@contextmanager
+def sized(
+    spark: SparkSession, *paths: str, max_partitions: int = MAX_PARTITIONS
+) -> Iterator[SparkSession]:
+    """Tuned and sized for the files under ``paths``; afterwards the settings are as before.
+
+    Plans read the settings when they run, so run them inside.
+    """
+    names = [*RUNTIME_SETTINGS, *sizing_for(0)]
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        yield size_for(tune(spark), input_bytes(spark, *paths), max_partitions)
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def _number(setting: str) -> int:
     """A count or a size such as ``256m`` or ``134217728b`` as a plain number, ``-1`` too."""
     digits, unit = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", setting.strip().lower()).groups()

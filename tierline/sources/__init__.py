@@ -5,7 +5,7 @@ from tierline.sources.catalog import (
     publish_table,
     register_table,
 )
-from tierline.sources.csv import ingest_raw
+from tierline.sources.csv import ingest_raw, malformed_lines
 from tierline.sources.files import layer_path, read_table, write_table
 
 __all__ = [
@@ -14,6 +14,7 @@ __all__ = [
     "ingest_raw",
     "layer_path",
     "list_layer",
+    "malformed_lines",
     "publish_table",
     "read_table",
     "register_table",

@@ -2,11 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+MALFORMED = "_malformed"
+
+
+def _reader(spark: SparkSession, escape: str, multi_line: bool) -> DataFrameReader:
+    return (
+        spark.read.option("header", True)
+        .option("enforceSchema", True)
+        .option("sep", ",")
+        .option("quote", '"')
+        .option("escape", escape)
+        .option("multiLine", multi_line)
+    )
+
+
+def malformed_lines(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    escape: str = "\\",
+    multi_line: bool = False,
+) -> DataFrame:
+    """``source_file, n_lines, malformed_lines`` per file with data.
+
+    A record is malformed if its number of fields is not the schema's: the ingest
+    fills missing fields and leaves surplus ones out, and here the loss shows.
+    """
+    reader = _reader(spark, escape, multi_line).option("columnNameOfCorruptRecord", MALFORMED)
+    # Only a parser that sees all columns can count a record's fields.
+    lines = reader.option("columnPruning", False).schema(
+        T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    )
+    first = schema.names[0]
+    return (
+        lines.csv(path)
+        .select(F.col("_metadata.file_name").alias("source_file"), first, MALFORMED)
+        .groupBy("source_file")
+        .agg(
+            F.count(F.lit(1)).alias("n_lines"),
+            # The reader refuses to answer from the malformed column alone.
+            F.count(F.when(F.col(MALFORMED).isNotNull(), F.coalesce(first, MALFORMED))).alias(
+                "malformed_lines"
+            ),
+        )
+    )
+
+
 def ingest_raw(
     spark: SparkSession,
     path: str,
@@ -24,16 +71,7 @@ def ingest_raw(
     ``escape='"'`` reads files that double their inner quotes. ``multi_line``
     allows line breaks inside quotes, at the price of one task per file.
     """
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("sep", ",")
-        .option("quote", '"')
-        .option("escape", escape)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    raw = _reader(spark, escape, multi_line).schema(schema).csv(path)
     return raw.select(
         *[F.coalesce(F.col(name), F.lit("")).alias(name) for name in schema.names],
         F.current_timestamp().alias("_ingested_at"),

@@ -19,6 +19,7 @@ from tierline.sources import (
     create_layers,
     ingest_raw,
     list_layer,
+    malformed_lines,
     register_table,
     write_table,
 )
@@ -35,6 +36,28 @@ def _csv_round_trip(t: Layers, name: str) -> DataFrame:
     return back.select(*RAW[name].names, lineage.alias("has_lineage"))
 
 
+def _csv_line_breaks(t: Layers) -> DataFrame:
+    """Customers whose quoted city holds a line break and a comma, written and ingested."""
+    path = f"{t.root}/csv/line_breaks"
+    city = F.concat("customer_city", F.lit(",\n"), "customer_state")
+    write_csv(t.raw("customers").withColumn("customer_city", city), path)
+    back = ingest_raw(t.spark, path, RAW["customers"], multi_line=True)
+    return back.select(*RAW["customers"].names)
+
+
+def _malformed_lines(t: Layers) -> DataFrame:
+    """Orders ending in 7 get a field too many, those in 3 one too few; all files together."""
+    orders, last = t.raw("orders"), F.col("order_id").substr(-1, 1)
+    path = f"{t.root}/csv/malformed"
+    write_csv(orders.filter(~last.isin("3", "7")), f"{path}/whole")
+    write_csv(orders.filter(last == "7").withColumn("surplus", F.lit("x")), f"{path}/longer")
+    write_csv(orders.filter(last == "3").select(*orders.columns[:-1]), f"{path}/shorter")
+    per_file = malformed_lines(t.spark, f"{path}/*", RAW["orders"])
+    return per_file.agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("malformed_lines").alias("malformed_lines")
+    )
+
+
 def _report(name: str) -> Callable[[Layers], DataFrame]:
     return lambda t: REPORTS[name](t.all_star())
 
@@ -73,6 +96,8 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "csv_ingest_customers": lambda t: _csv_round_trip(t, "customers"),
     "csv_ingest_products": lambda t: _csv_round_trip(t, "products"),
     "csv_ingest_categories": lambda t: _csv_round_trip(t, "product_category_translation"),
+    "csv_ingest_line_breaks": _csv_line_breaks,
+    "dq_malformed_lines": _malformed_lines,
     "clean_categories": lambda t: t.build_clean("categories"),
     "clean_products": lambda t: t.build_clean("products"),
     "clean_customers": lambda t: t.build_clean("customers"),
@@ -147,7 +172,13 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     ),
     "dq_suite_bronze": lambda t: run_checks("bronze", t.all_raw(), raw_suite()),
     "dq_suite_silver": lambda t: run_checks(
-        "silver", {**t.all_clean(), "raw_order_items": t.raw("order_items")}, clean_suite()
+        "silver",
+        {
+            **t.all_clean(),
+            "raw_order_items": t.raw("order_items"),
+            "accepted_order_items": quarantine.accepted_keys(t.classified()),
+        },
+        clean_suite(),
     ),
     "dq_suite_gold": lambda t: run_checks(
         "gold", {**t.all_star(), "order_items": t.clean("order_items")}, star_suite()
