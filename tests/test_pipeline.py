@@ -135,6 +135,13 @@ def test_run_keeps_line_breaks_and_counts_malformed(spark, loaded, scratch):
     assert dict(per_table.collect()) == {name: 0 for name in RAW}
 
 
+def test_no_checks_no_rows(spark, loaded):
+    some = run_checks("gold", read_star(spark, loaded[1]), star_suite()[:1])
+    none = run_checks("gold", {}, [])
+    assert none.count() == 0
+    assert [(f.name, f.dataType) for f in none.schema] == [(f.name, f.dataType) for f in some.schema]
+
+
 def test_settings_come_back(spark, loaded):
     _, root = loaded
     name = "spark.sql.shuffle.partitions"

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.quality import duplicate_keys, orphans
@@ -118,6 +118,12 @@ Check = (
 )
 
 
+RESULT = (
+    "layer string, table_name string, check_name string, observed bigint, expected bigint, "
+    "passed boolean"
+)
+
+
 def _long(value: int | None) -> Column:
     return F.lit(value).cast("long")
 
@@ -224,8 +230,10 @@ def _reconcile_check(tables: Mapping[str, DataFrame], check: ReconcileCheck) ->
 def run_checks(layer: str, tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """``layer, table_name, check_name, observed, expected, passed`` per check.
 
-    ``passed`` is NULL for a figure that has no expectation.
+    ``passed`` is NULL for a figure that has no expectation. No checks, no rows.
     """
+    if not checks:
+        return SparkSession.active().createDataFrame([], RESULT)
     frames: list[DataFrame] = []
     by_row: dict[str, list] = {}
     for check in checks:
