@@ -89,7 +89,8 @@ def fit(docs: DataFrame, labels: DataFrame, store, *, id_column: str = "doc_id",
     sample = named.where(F.pmod(F.xxhash64("id"), F.lit(share)) < SAMPLE_ROWS)
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    joined = texts.join(sample, "id").select("domain", part.alias("part"), "text")
+    # The sample's ids number about SAMPLE_ROWS at any size, so the texts stay where they are.
+    joined = texts.join(F.broadcast(sample), "id").select("domain", part.alias("part"), "text")
 
     def spread(_, domain: int, part: int, text: str | None) -> Iterator[tuple]:
         found, _ = features(text)
