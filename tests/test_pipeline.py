@@ -4,6 +4,7 @@ import os
 from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
 
 from tierline_queries.layers import layers, write_csv
 from helpers import bag
@@ -83,6 +84,22 @@ def test_exact_run_accounts_for_every_row(spark, loaded, scratch):
     assert_checks(run_checks("gold", star, star_suite()))
 
 
+def test_enforced_run_stops_at_a_missing_required_value(spark, loaded, expected, scratch):
+    inputs, _ = loaded
+    assert run(spark, inputs, f"{scratch}/enforced", enforce=True)["gold"]
+    broken, root = f"{scratch}/broken", f"{scratch}/broken_lake"
+    for name, prefix in PREFIXES.items():
+        df = expected.raw(name)
+        if name == "orders":
+            time = "order_purchase_timestamp"
+            least = df.agg(F.min("order_id")).first()[0]
+            df = df.withColumn(time, F.when(df.order_id == least, "soon").otherwise(df[time]))
+        write_csv(df, f"{broken}/{prefix}.csv")
+    with pytest.raises(AssertionError, match="silver.orders null in required column: 1, expected 0"):
+        run(spark, broken, root, enforce=True)
+    assert not os.path.exists(f"{root}/gold")
+
+
 def test_one_lost_row_fails_the_suite(spark, loaded):
     """Rows left out as duplicates are counted, so a row that is just gone shows."""
     _, root = loaded

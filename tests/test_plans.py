@@ -6,6 +6,11 @@ import pytest
 
 from tierline_queries.layers import layers
 from tierline_queries.registry import OPERATORS
+from tierline.operators.quarantine import first_items, rank_accepted
+from tierline.plans import run_checks
+from tierline.plans.checks import CountCheck, KeyCheck, OrphanCheck, ReconcileCheck, RowCheck
+from tierline.plans.suites import constraint_checks
+from tierline.schemas import CLEAN
 from helpers import final_plan, plan
 
 
@@ -59,6 +64,27 @@ def test_each_half_of_the_split_reads_its_own_files(tables):
         assert condition in re.sub(r"#\d+", "", partition)
 
 
+def test_exact_outputs_read_one_ranking(tables, shuffled):
+    ranked = tables.ranked()
+    assert exchanges(final_plan(first_items(ranked))) == []
+    assert exchanges(final_plan(tables.exact_quarantine())) == []
+    assert len(exchanges(final_plan(rank_accepted(tables.classified())))) == 2
+
+
+def test_key_and_orphan_checks_share_a_shuffle(tables, shuffled):
+    """The items are read once for both and once for the rows and counts."""
+    kept = (KeyCheck, OrphanCheck, RowCheck, CountCheck, ReconcileCheck)
+    checks = [
+        c
+        for c in constraint_checks(CLEAN)
+        if c.table == "order_items" and isinstance(c, kept) and getattr(c, "on", "order_id") == "order_id"
+    ]
+    checks.append(ReconcileCheck("order_items", "all", ("order_items",), whole="orders"))
+    text = final_plan(run_checks("silver", tables.all_clean(), checks))
+    assert text.count("ReusedExchange") == 1
+    assert len([s for s in text.split("FileScan")[1:] if "order_item_id#" in s.split("\n")[0]]) == 2
+
+
 def test_fact_shuffles_items_once(tables, shuffled):
     items = tables.clean("order_items")
     text = final_plan(tables.build_star("fact_order_items"))

@@ -133,6 +133,11 @@ def test_exact_split_accounts_for_every_row(spark, refs, scratch, slices):
     assert len(good) == len(groups)
     assert len(good) + sum(quarantined.values()) == len(items)
 
+    q.rank_accepted(classified).write.parquet(f"{path}-ranked")
+    ranked = spark.read.parquet(f"{path}-ranked")
+    assert bag(q.first_items(ranked)) == good
+    assert Counter(rows(q.build_exact_quarantine(classified, ranked))) == wanted
+
     row = q.reconcile(raw, q.build_order_items(classified), q.build_exact_quarantine(classified))
     assert rows(row) == [(len(good), len(items) - len(good), len(items), len(items), 0)]
 

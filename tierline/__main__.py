@@ -1,6 +1,6 @@
 """Load, check and report from the command line, for ``spark-submit`` or ``python -m``.
 
-    tierline load INPUT_DIR ROOT [--exact] [--escape CHAR] [--multi-line]
+    tierline load INPUT_DIR ROOT [--exact] [--escape CHAR] [--multi-line] [--enforce]
     tierline check ROOT {bronze,silver,gold} [--public-volumes] [--exact]
     tierline report ROOT NAME
 """
@@ -27,6 +27,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--exact", action="store_true", help="also quarantine duplicates")
     load.add_argument("--escape", default="\\", help="escape character inside quotes")
     load.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
+    load.add_argument("--enforce", action="store_true", help="stop at broken constraints")
     check = commands.add_parser("check", help="data-quality checks of one layer")
     check.add_argument("root")
     check.add_argument("layer", choices=["bronze", "silver", "gold"])
@@ -66,6 +67,7 @@ def main(arguments: list[str] | None = None) -> int:
             exact=options.exact,
             escape=options.escape,
             multi_line=options.multi_line,
+            enforce=options.enforce,
         )
         return 0
     with sized(spark, options.root):

@@ -16,6 +16,7 @@ from tierline.schemas import AMOUNT, CLEAN, conform
 REASON = "rejection_reason"
 REJECTED = "is_rejected"
 SLICE = "row_slice"
+DUPLICATE = "is_duplicate"
 
 # The reasons stored with rejected line items and the shapes of
 # acceptable numbers.
@@ -121,7 +122,7 @@ def mark_duplicates(
     grouped = local.withColumn("_group", group)
     among = Window.partitionBy(*keys, "_group").orderBy(*order_by, slice_col)
     first = (F.col("_local") == 1) & (F.row_number().over(among) == 1)
-    return grouped.withColumn("is_duplicate", ~first).drop("_local", "_group")
+    return grouped.withColumn(DUPLICATE, ~first).drop("_local", "_group")
 
 
 # -- order line items ---------------------------------------------------------
@@ -189,19 +190,31 @@ def build_quarantine(classified: DataFrame) -> DataFrame:
     return rejected(classified).select(*CLEAN["quarantine_order_items"].schema.names)
 
 
-def build_exact_quarantine(classified: DataFrame) -> DataFrame:
-    """Rejected line items plus the duplicates that deduplication leaves out.
+def rank_accepted(classified: DataFrame) -> DataFrame:
+    """Accepted line items with ``is_duplicate``: the one ranking of an exact split.
 
-    With these, accepted and quarantined rows add up to the raw row count.
-    ``classified`` is a written table carrying :func:`with_slice`.
+    ``classified`` is a written table carrying :func:`with_slice`. Write the result, so
+    that :func:`first_items` and :func:`build_exact_quarantine` read the same outcome.
     """
     numbered = accepted(classified).withColumn("_item", _item_number())
-    ranked = mark_duplicates(
-        numbered,
-        ["order_id", "_item"],
-        ["order_item_id", *ITEM_ORDER],
-    )
-    duplicates = ranked.filter("is_duplicate").withColumn(REASON, F.lit(DUPLICATE_ITEM))
+    ranked = mark_duplicates(numbered, ["order_id", "_item"], ["order_item_id", *ITEM_ORDER])
+    return ranked.select(*ITEM_COLUMNS, DUPLICATE)
+
+
+def first_items(ranked: DataFrame) -> DataFrame:
+    """Ranked line items without their duplicates, typed; as :func:`build_order_items`."""
+    return _typed_items(ranked.filter(~F.col(DUPLICATE)))
+
+
+def build_exact_quarantine(classified: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
+    """Rejected line items plus the duplicates that deduplication leaves out.
+
+    With these, accepted and quarantined rows add up to the raw row count. ``ranked`` is
+    the written result of :func:`rank_accepted`; without it the rows are ranked here.
+    """
+    if ranked is None:
+        ranked = rank_accepted(classified)
+    duplicates = ranked.filter(DUPLICATE).withColumn(REASON, F.lit(DUPLICATE_ITEM))
     names = CLEAN["quarantine_order_items"].schema.names
     return build_quarantine(classified).unionByName(duplicates.select(*names))
 

@@ -1,7 +1,7 @@
 """Run many data-quality checks as one job with one result table.
 
-Checks on the rows of one table share a single scan and aggregate; each key and
-reference check adds one aggregate over only its own columns.
+Checks on the rows of one table share a single scan and aggregate, row counts included;
+each key and reference check adds one aggregate over only its own columns.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators.quality import duplicate_keys, orphans
+from tierline.operators.quality import orphans
 
 
 @dataclass(frozen=True)
@@ -142,89 +142,126 @@ def _result(
     )
 
 
-def _scan_checks(df: DataFrame, checks: Sequence[RowCheck | CountCheck | PairCheck]) -> DataFrame:
-    """All checks that only look at rows: one scan, one row, unpacked to many."""
-    measures: list[Column] = []
-    results: list[Column] = []
+class _Measures:
+    """The numbers that checks compare, each computed once however many checks use it.
 
-    def measure(value: Column) -> Column:
-        name = f"_m{len(measures)}"
-        measures.append(value.alias(name))
-        return F.col(name)
+    All numbers from the rows of one table come from one scan. Numbers from the keys of
+    a table come from one aggregate per key; a check on the first column of a composite
+    key sums up that key's aggregate, whose shuffle Spark then runs once for both.
+    """
 
-    for check in checks:
-        if isinstance(check, RowCheck):
-            results.append(_result(check, measure(F.count_if(check.violates)), _long(0)))
-        elif isinstance(check, CountCheck):
-            where = F.lit(True) if check.where is None else check.where
-            observed = measure(F.count_if(where))
-            results.append(_result(check, observed, _long(check.expected), check.tolerance))
-        else:
-            left = measure(F.count_if(check.left))
-            results.append(_result(check, left, measure(F.count_if(check.right))))
-    return df.agg(*measures).select(F.inline(F.array(*results)))
+    def __init__(self, tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> None:
+        self.tables = tables
+        self._composite = {
+            (c.table, c.keys[0]): c.keys
+            for c in checks
+            if isinstance(c, KeyCheck) and len(c.keys) > 1
+        }
+        self._scans: dict[str, dict[str, Column]] = {}
+        self._frames: dict[str, DataFrame] = {}
+
+    def scan(self, table: str, name: str, value: Column) -> Column:
+        """An aggregate over the rows of ``table``; one name is one aggregate."""
+        self._scans.setdefault(table, {})[name] = value
+        return self._number(f"{table}/{name}")
+
+    def rows(self, table: str) -> Column:
+        return self.scan(table, "rows", F.count(F.lit(1)))
+
+    def of(self, name: str, df: DataFrame, value: Column) -> Column:
+        """An aggregate over a frame of its own."""
+        self._frames[name] = df.agg(_entry(name, value))
+        return self._number(name)
+
+    def per_key(self, table: str, keys: Sequence[str]) -> DataFrame:
+        """Rows per key, as ``_rows``."""
+        wider = self._composite.get((table, keys[0])) if len(keys) == 1 else None
+        count = F.count(F.lit(1)).alias("_rows")
+        if wider is None:
+            return self.tables[table].groupBy(*keys).agg(count)
+        pairs = self.tables[table].groupBy(*wider).agg(count)
+        return pairs.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
+
+    def _number(self, name: str) -> Column:
+        return F.col("_numbers")[name]
+
+    def all(self) -> DataFrame:
+        """One row with every number asked for so far."""
+        found = [
+            self.tables[table]
+            .agg(*[value.alias(f"_m{i}") for i, value in enumerate(values.values())])
+            .select(
+                F.explode(
+                    F.array(*[_entry(f"{table}/{n}", F.col(f"_m{i}")) for i, n in enumerate(values)])
+                ).alias("_entry")
+            )
+            for table, values in self._scans.items()
+        ]
+        found += [frame.toDF("_entry") for frame in self._frames.values()]
+        entries = reduce(DataFrame.unionByName, found)
+        return entries.agg(F.map_from_entries(F.collect_list("_entry")).alias("_numbers"))
 
 
-def _key_check(df: DataFrame, check: KeyCheck) -> DataFrame:
-    found = duplicate_keys(df, check.keys).agg(F.count(F.lit(1)).alias("_n"))
-    return found.select(F.inline(F.array(_result(check, F.col("_n"), _long(0)))))
+def _entry(name: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias("name"), value.cast("long").alias("n"))
 
 
-def _orphan_check(child: DataFrame, parent: DataFrame, check: OrphanCheck) -> DataFrame:
+def _orphan_rows(m: _Measures, check: OrphanCheck) -> Column:
     """Rows are counted per key before the join, so a hot key is joined once."""
-    weight = F.max(F.lit(1).cast("long")) if check.distinct else F.count(F.lit(1))
-    per_key = child.groupBy(check.on).agg(weight.alias("_n"))
     lost = orphans(
-        per_key,
-        parent,
+        m.per_key(check.table, [check.on]),
+        m.tables[check.parent],
         check.on,
         parent_key=check.parent_key,
         ignore_null=check.ignore_null,
         unique_parent=check.unique_parent,
     )
-    total = lost.agg(F.coalesce(F.sum("_n"), _long(0)).alias("_n"))
-    return total.select(F.inline(F.array(_result(check, F.col("_n"), _long(0)))))
-
-
-def _domain_check(df: DataFrame, check: DomainCheck) -> DataFrame:
-    values = df.select(check.column).distinct()
-    if check.allowed is None:
-        observed, expected = F.count(F.lit(1)), _long(None)
-    else:
-        known = F.coalesce(F.col(check.column).isin(*check.allowed), F.lit(False))
-        observed, expected = F.count_if(~known), _long(0)
-    found = values.agg(observed.alias("_n"))
-    return found.select(F.inline(F.array(_result(check, F.col("_n"), expected))))
+    total = F.count(F.lit(1)) if check.distinct else F.coalesce(F.sum("_rows"), _long(0))
+    name = f"{check.table}.{check.on} not in {check.parent}.{check.parent_key}"
+    return m.of(f"{name} {check.ignore_null} {check.distinct}", lost, total)
 
 
-def _repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return per_key.agg(F.coalesce(F.sum(F.col("_rows") - 1), _long(0)).alias("_n"))
+def _repeats(m: _Measures, table: str, keys: Sequence[str]) -> Column:
+    """Rows after the first of their key."""
+    surplus = F.coalesce(F.sum(F.col("_rows") - 1), _long(0))
+    return m.of(f"repeats {table} {keys}", m.per_key(table, keys), surplus)
 
 
-def _repeat_count(df: DataFrame, check: RepeatCount) -> DataFrame:
-    found = _repeats(df, check.keys)
-    return found.select(F.inline(F.array(_result(check, F.col("_n"), _long(None)))))
-
-
-def _reconcile_check(tables: Mapping[str, DataFrame], check: ReconcileCheck) -> DataFrame:
-    def counted(name: str, column: str) -> DataFrame:
-        n = tables[name].agg(F.count(F.lit(1)).alias("_n"))
-        return n.select(F.lit(column).alias("_side"), "_n")
-
-    counts = [counted(part, "part") for part in check.parts]
+def _evaluate(m: _Measures, check: Check, at: int) -> Column:
+    """The result of one check as a struct over the numbers it asks ``m`` for."""
+    if isinstance(check, RowCheck):
+        return _result(check, m.scan(check.table, str(at), F.count_if(check.violates)), _long(0))
+    if isinstance(check, CountCheck):
+        if check.where is None:
+            seen = m.rows(check.table)
+        else:
+            seen = m.scan(check.table, str(at), F.count_if(check.where))
+        return _result(check, seen, _long(check.expected), check.tolerance)
+    if isinstance(check, PairCheck):
+        left, right = (
+            m.scan(check.table, f"{at} {side}", F.count_if(condition))
+            for side, condition in (("left", check.left), ("right", check.right))
+        )
+        return _result(check, left, right)
+    if isinstance(check, KeyCheck):
+        repeated = F.count_if(F.col("_rows") > 1)
+        name = f"repeated {check.table} {check.keys}"
+        return _result(check, m.of(name, m.per_key(check.table, check.keys), repeated), _long(0))
+    if isinstance(check, OrphanCheck):
+        return _result(check, _orphan_rows(m, check), _long(0))
+    if isinstance(check, DomainCheck):
+        values = m.tables[check.table].select(check.column).distinct()
+        if check.allowed is None:
+            return _result(check, m.of(f"domain {at}", values, F.count(F.lit(1))), _long(None))
+        known = F.coalesce(F.col(check.column).isin(*check.allowed), F.lit(False))
+        return _result(check, m.of(f"domain {at}", values, F.count_if(~known)), _long(0))
+    if isinstance(check, RepeatCount):
+        return _result(check, _repeats(m, check.source, check.keys), _long(None))
+    parts = [m.rows(part) for part in check.parts]
     if check.repeats_in is not None:
-        repeats = _repeats(tables[check.repeats_in], check.keys)
-        counts.append(repeats.select(F.lit("part").alias("_side"), "_n"))
-    if check.whole is not None:
-        counts.append(counted(check.whole, "whole"))
-    sums = reduce(DataFrame.unionByName, counts).agg(
-        F.sum(F.when(F.col("_side") == "part", F.col("_n"))).alias("_parts"),
-        F.sum(F.when(F.col("_side") == "whole", F.col("_n"))).alias("_whole"),
-    )
-    expected = _long(check.expected) if check.whole is None else F.col("_whole")
-    result = _result(check, F.col("_parts"), expected, check.tolerance)
-    return sums.select(F.inline(F.array(result)))
+        parts.append(_repeats(m, check.repeats_in, check.keys))
+    expected = _long(check.expected) if check.whole is None else m.rows(check.whole)
+    return _result(check, reduce(Column.__add__, parts), expected, check.tolerance)
 
 
 def run_checks(layer: str, tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
@@ -234,26 +271,9 @@ def run_checks(layer: str, tables: Mapping[str, DataFrame], checks: Sequence[Che
     """
     if not checks:
         return SparkSession.active().createDataFrame([], RESULT)
-    frames: list[DataFrame] = []
-    by_row: dict[str, list] = {}
-    for check in checks:
-        if isinstance(check, (RowCheck, CountCheck, PairCheck)):
-            by_row.setdefault(check.table, []).append(check)
-    for table, group in by_row.items():
-        frames.append(_scan_checks(tables[table], group))
-    for check in checks:
-        if isinstance(check, KeyCheck):
-            frames.append(_key_check(tables[check.table], check))
-        elif isinstance(check, OrphanCheck):
-            frames.append(_orphan_check(tables[check.table], tables[check.parent], check))
-        elif isinstance(check, DomainCheck):
-            frames.append(_domain_check(tables[check.table], check))
-        elif isinstance(check, ReconcileCheck):
-            frames.append(_reconcile_check(tables, check))
-        elif isinstance(check, RepeatCount):
-            frames.append(_repeat_count(tables[check.source], check))
-    results = reduce(DataFrame.unionByName, frames)
-    return results.select(F.lit(layer).alias("layer"), *results.columns)
+    measures = _Measures(tables, checks)
+    results = [_evaluate(measures, check, at) for at, check in enumerate(checks)]
+    return measures.all().select(F.lit(layer).alias("layer"), F.inline(F.array(*results)))
 
 
 def assert_checks(results: DataFrame) -> None:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tierline.functions import month_of
 from tierline.operators import cleaning, quarantine, star
+from tierline.plans.checks import assert_checks, run_checks
+from tierline.plans.suites import constraint_checks
 from tierline.schemas import CLEAN, LINEAGE, RAW, RAW_FILES, STAR
 from tierline.session import MAX_PARTITIONS, sized, tune
 from tierline.sources import (
@@ -126,10 +128,17 @@ def build_clean(spark: SparkSession, raw: Tables, root: str, *, exact: bool = Fa
     classified = write_classified(
         spark, raw["order_items"], tables["orders"], tables["products"], work
     )
-    rejects = quarantine.build_exact_quarantine if exact else quarantine.build_quarantine
+    if exact:
+        work = layer_path(root, WORK_LAYER, "ranked_order_items")
+        ranked = write_ranked(spark, classified, work)
+        good = quarantine.first_items(ranked)
+        rejects = quarantine.build_exact_quarantine(classified, ranked)
+    else:
+        good = quarantine.build_order_items(classified)
+        rejects = quarantine.build_quarantine(classified)
     _together(
-        lambda: load("order_items", quarantine.build_order_items(classified)),
-        lambda: load("quarantine_order_items", rejects(classified)),
+        lambda: load("order_items", good),
+        lambda: load("quarantine_order_items", rejects),
     )
     return tables
 
@@ -155,6 +164,13 @@ def write_classified(
     return read_table(spark, path, stored.schema)
 
 
+def write_ranked(spark: SparkSession, classified: DataFrame, path: str) -> DataFrame:
+    """Rank the accepted line items once, into a table that both exact outputs read."""
+    ranked = quarantine.rank_accepted(classified)
+    write_table(ranked, path, [quarantine.DUPLICATE], gather=False)
+    return read_table(spark, path, ranked.schema)
+
+
 def build_star(
     spark: SparkSession, clean: Tables, root: str, *, fact_by_month: bool = False
 ) -> Tables:
@@ -213,19 +229,26 @@ def run(
     escape: str = "\\",
     multi_line: bool = False,
     exact: bool = False,
+    enforce: bool = False,
     max_partitions: int = MAX_PARTITIONS,
 ) -> dict[str, Tables]:
     """Load all three layers under ``output_root``. Repeating a run replaces them.
 
     ``exact`` also quarantines the duplicates that deduplication leaves out;
-    ``multi_line`` keeps line breaks inside quotes. The caller's settings come back.
+    ``multi_line`` keeps line breaks inside quotes. With ``enforce`` a repeated key, a
+    missing required value or an orphan in the clean or star layer stops the load with an
+    ``AssertionError``, before the next layer is built. The caller's settings come back.
     """
     with sized(spark, input_dir, max_partitions=max_partitions):
         raw = ingest_layer(
             spark, input_dir, output_root, files=files, escape=escape, multi_line=multi_line
         )
         clean = build_clean(spark, raw, output_root, exact=exact)
+        if enforce:
+            assert_checks(run_checks(CLEAN_LAYER, clean, constraint_checks(CLEAN)))
         gold = build_star(spark, clean, output_root)
+        if enforce:
+            assert_checks(run_checks(STAR_LAYER, gold, constraint_checks(STAR)))
     return {"bronze": raw, "silver": clean, "gold": gold}
 
 

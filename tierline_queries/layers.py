@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierline_queries.mapped_raw import raw_table
 from tierline.operators import cleaning, quarantine, star
-from tierline.plans.pipeline import write_classified
+from tierline.plans.pipeline import write_classified, write_ranked
 from tierline.schemas import CLEAN, RAW, STAR
 from tierline.session import input_bytes, shared_folder, size_for, tune
 from tierline.sources import layer_path, read_table, write_table
@@ -66,6 +66,16 @@ class Layers:
             )
         return self._tables[key]
 
+    def ranked(self) -> DataFrame:
+        key = ("work", "ranked_order_items")
+        if key not in self._tables:
+            path = layer_path(self.root, *key)
+            self._tables[key] = write_ranked(self.spark, self.classified(), path)
+        return self._tables[key]
+
+    def exact_quarantine(self) -> DataFrame:
+        return quarantine.build_exact_quarantine(self.classified(), self.ranked())
+
     def profiles(self) -> DataFrame:
         return self._written(
             "work",

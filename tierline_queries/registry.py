@@ -12,6 +12,7 @@ from tierline_queries.layers import Layers, layers, write_csv
 from tierline.functions import month_of
 from tierline.operators import analysis, quality, quarantine, star
 from tierline.plans import clean_suite, raw_suite, run_checks, star_suite
+from tierline.plans.checks import CountCheck
 from tierline.plans.reports import REPORTS
 from tierline.schemas import AMOUNT, RAW
 from tierline.sources import (
@@ -27,6 +28,16 @@ from tierline.sources import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Expected rows and tolerance; some fail at any size, so that both outcomes are compared.
+EXPECTED_ROWS = {
+    "product_category_translation": (8, 0.25),
+    "products": (2_000, 0.0),
+    "customers": (15_000, 0.0625),
+    "orders": (12_000, 0.125),
+    "order_items": (60_000, 0.0),
+}
+
+
 def _csv_round_trip(t: Layers, name: str) -> DataFrame:
     """Write a raw table as CSV files and ingest them again."""
     path = f"{t.root}/csv/{name}"
@@ -104,7 +115,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "clean_orders": lambda t: t.build_clean("orders"),
     "accepted_items": lambda t: t.build_clean("order_items"),
     "quarantined_items": lambda t: quarantine.build_quarantine(t.classify_live()),
-    "quarantine_exact": lambda t: quarantine.build_exact_quarantine(t.classified()),
+    "quarantine_exact": lambda t: t.exact_quarantine(),
     "dim_products": lambda t: t.build_star("dim_products"),
     "dim_customers": lambda t: star.build_dim_customers(
         t.clean("customers"), t.clean("orders"), t.clean("order_items")
@@ -125,6 +136,9 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "dq_missing_rows": lambda t: quality.missing_rows(
         t.raw("orders"), ["order_id", "customer_id", "order_delivered_customer_date"]
     ),
+    "dq_missing_nulls": lambda t: quality.missing_rows(
+        t.clean("orders"), ["order_id", "delivered_customer_ts"], blank=False
+    ),
     "dq_orphans": lambda t: quality.orphans(
         t.raw("orders").select("order_id", "customer_id"), t.raw("customers"), "customer_id"
     ),
@@ -151,6 +165,11 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
         delivery_days_not_null=F.col("delivery_days").isNotNull(),
     ),
     "dq_row_counts": lambda t: count_tables(t.all_raw()),
+    "dq_row_expectations": lambda t: run_checks(
+        "bronze",
+        t.all_raw(),
+        [CountCheck(name, "row count", *wanted) for name, wanted in EXPECTED_ROWS.items()],
+    ),
     "dq_reason_tally": lambda t: quality.tally(
         t.clean("quarantine_order_items"), "rejection_reason"
     ),
@@ -158,9 +177,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
         t.raw("order_items"), t.clean("order_items"), t.clean("quarantine_order_items")
     ),
     "dq_reconciliation_exact": lambda t: quarantine.reconcile(
-        t.raw("order_items"),
-        t.clean("order_items"),
-        quarantine.build_exact_quarantine(t.classified()),
+        t.raw("order_items"), quarantine.first_items(t.ranked()), t.exact_quarantine()
     ),
     "dq_cast_losses": lambda t: quality.cast_losses(
         t.raw("order_items"),
