@@ -42,20 +42,24 @@ GOLAY = 0xC75  # fixed value: generator polynomial of the [23, 12, 7] code
 BLOCK = 512
 
 
-def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
-    """64-bit fingerprint as a signed number."""
+def shingles(text: str | None, words: int = SHINGLE_WORDS) -> list[int]:
+    """XXH64 values of the runs of ``words`` words, in order."""
     found = (text or "").encode().lower().split()
     if not found:
-        return 0
+        return []
     joined = b" ".join(found)
     if len(found) <= words:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in found])
-        starts = [0, *ends[: len(found) - words].tolist()]
-        stops = (ends[words - 1 :] - 1).tolist()
-        h = xxhash.xxh64_intdigest
-        hashes = [h(joined[a:b], SEED) for a, b in zip(starts, stops)]
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum([len(w) + 1 for w in found])
+    starts = [0, *ends[: len(found) - words].tolist()]
+    stops = (ends[words - 1 :] - 1).tolist()
+    h = xxhash.xxh64_intdigest
+    return [h(joined[a:b], SEED) for a, b in zip(starts, stops)]
+
+
+def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
+    """64-bit fingerprint as a signed number."""
+    hashes = shingles(text, words)
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 65_536):
         part = np.array(hashes[at : at + 65_536], dtype="<u8").view(np.uint8).reshape(-1, 8)
@@ -258,8 +262,10 @@ def fingerprint_text(column: str = "fp"):
     return F.lower(F.lpad(F.hex(column), 16, "0"))
 
 
-def keep_first(docs: DataFrame, store, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each component: the smallest id, of equal ids the first text.
+def keep_first(
+    docs: DataFrame, store, *, id_column: str = "doc_id", text_column: str = "text", groups=near_duplicates
+) -> DataFrame:
+    """One row of each component that ``groups`` finds: the smallest id, of equal ids the first text.
 
     Rows are numbered when written, and the numbers stand in for the ids, so rows with
     a null or repeated id are kept or dropped by the same rule.
@@ -268,7 +274,7 @@ def keep_first(docs: DataFrame, store, *, id_column: str = "doc_id", text_column
     while number in {c.lower() for c in docs.columns}:
         number += "_"
     numbered = store.keep(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    found = near_duplicates(
+    found = groups(
         numbered.select(F.col(number), F.col(f"`{text_column}`")),
         store,
         id_column=number,
