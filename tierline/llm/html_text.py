@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density (operator 5).
 
 A page is parsed into a tree; parts that are no article by their tag, role or class
-(menus, headers, footers, sidebars, notices, adverts, forms, comments) are cut off. For
+(menus, headers, footers, sidebars, notices, adverts, forms, comments) are cut off. A class
+or id is only a hint: a part that holds the page's article or most of its text stays. For
 every remaining node the composite density sets characters against tags, adjusted for
 how much of both sits in links. The sum of its children's densities marks the node that
 holds most dense children. An enclosing article or main element is taken whole. Without
@@ -71,37 +72,88 @@ NO_TEXT_HINTS = set(
     "subscription signup login comment comments disqus respond reply replies share sharing social "
     "related recommended widget widgets pagination pager toolbar copyright skip".split()
 )
+# A hint word after one of these names what a part has, not what it is.
+HAVING = set("has have with no not without hide hides show shows".split())
+# Parts so named are no wrappers of the main text, however long they are.
+BESIDE_HINTS = set(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored comment comments "
+    "disqus respond reply replies related recommended".split()
+)
 KEPT_TAGS = {"html", "body", "article", "main"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "cut", "items", "chars", "tags", "link_chars", "link_tags", "density")
+    __slots__ = ("tag", "parent", "cut", "hints", "items", "chars", "tags", "link_chars", "link_tags", "density")
 
-    def __init__(self, tag: str, parent: Node | None, cut: bool) -> None:
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: Node | None, cut: bool, hints: frozenset[str] = frozenset()) -> None:
+        self.tag, self.parent, self.cut, self.hints = tag, parent, cut, hints
         self.items: list[str | Node] = []
         self.density = 0.0
 
 
-def is_cut(tag: str, attributes: str) -> bool:
+def is_cut(tag: str, attributes: str) -> tuple[bool, frozenset[str]]:
+    """Whether an element is no article for certain, and the words that hint so."""
+    hints: set[str] = set()
     if tag in NO_TEXT_TAGS:
-        return True
+        return True, frozenset()
     if not attributes.strip(" /\t\r\n"):
-        return False
+        return False, frozenset()
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return tag not in KEPT_TAGS
+            if tag not in KEPT_TAGS:
+                return True, frozenset()
         if name == "role" and value.lower() in NO_TEXT_ROLES:
-            return True
+            return True, frozenset()
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return True, frozenset()
         if name in ("class", "id"):
-            words = {w.lower() for w in HINT_WORD.findall(value)}
-            hit = words & NO_TEXT_HINTS
-            if hit and (tag not in KEPT_TAGS or (tag == "article" and hit & {"comment", "ad", "advert", "related", "promo"})):
-                return True
-    return False
+            for token in value.split():
+                words = [w.lower() for w in HINT_WORD.findall(token)]
+                hints.update(w for w, led in zip(words, ["", *words]) if w in NO_TEXT_HINTS and led not in HAVING)
+    if tag == "article" and hints & {"comment", "ad", "advert", "related", "promo"}:
+        return True, frozenset()
+    return False, frozenset() if tag in KEPT_TAGS else frozenset(hints)
+
+
+def cut_hinted(root: Node) -> None:
+    """Cut the hinted nodes, outermost first, but those that hold the main text.
+
+    Such a node holds an article or main with more text than any that is found without
+    passing hints; or no such is found elsewhere, and it holds most of the text.
+    """
+    nodes = _in_order(root)
+    hinted = [n for n in nodes if n.hints]
+    if not hinted:
+        return
+    full: dict[Node, int] = {}
+    free: dict[Node, int] = {}
+    inner: set[Node] = set()
+    for node in reversed(nodes):
+        own = sum(len("".join(i.split())) for i in node.items if isinstance(i, str))
+        below = [c for c in node.items if isinstance(c, Node) and not c.cut]
+        full[node] = own + sum(full[c] for c in below)
+        free[node] = own + sum(free[c] for c in below if not c.hints)
+        if any(c in inner or c.tag in ("article", "main") for c in below):
+            inner.add(node)
+    open_nodes = [root]
+    for node in open_nodes:
+        open_nodes += [c for c in node.items if isinstance(c, Node) and not c.cut and not c.hints]
+    anchors = {n for n in open_nodes if n.tag in ("article", "main") and free[n]}
+    rest = max((free[a] for a in anchors), default=0)
+    passed = {root: (False, 0)}  # is in an article; anchors around
+    for node in nodes:
+        if node.parent is not None:
+            if node.parent not in passed:
+                continue
+            inside, around = passed[node.parent]
+            if node.hints:
+                holds = node in inner and not inside and full[node] > rest
+                most = not node.hints & BESIDE_HINTS and len(anchors) == around and 2 * full[node] > full[root]
+                if not holds and not most:
+                    node.cut = True
+                    continue
+            passed[node] = (inside or node.tag == "article", around + (node in anchors))
 
 
 def parse(page: str) -> Node:
@@ -141,7 +193,7 @@ def parse(page: str) -> Node:
             close({"p"}, {"table", "td", "th", "caption", "article", "section", "div", "li", "button"})
         if tag in SIBLINGS:
             close(*SIBLINGS[tag])
-        node = Node(tag, stack[-1], is_cut(tag, attributes))
+        node = Node(tag, stack[-1], *is_cut(tag, attributes))
         stack[-1].items.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
@@ -210,6 +262,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
+    cut_hinted(root)
     nodes = _in_order(root)
     measure(nodes)
 
