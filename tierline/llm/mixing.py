@@ -78,7 +78,7 @@ def _domain() -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, store, *, id_column: str = "doc_id", text_column: str = "text") -> Classifier:
-    """Classifier from at most about ``SAMPLE_ROWS`` labelled rows, half for temperature."""
+    """Classifier from one text each of at most about ``SAMPLE_ROWS`` labelled ids, half for temperature."""
     named = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy("doc_id")
@@ -90,7 +90,10 @@ def fit(docs: DataFrame, labels: DataFrame, store, *, id_column: str = "doc_id",
     part = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2))
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     # The sample's ids number about SAMPLE_ROWS at any size, so the texts stay where they are.
-    joined = texts.join(F.broadcast(sample), "id").select("domain", part.alias("part"), "text")
+    joined = texts.join(F.broadcast(sample), "id")
+    # One text of each id, so that a repeated id is one row however often it occurs.
+    one = joined.groupBy("id", "domain").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("m"))
+    joined = one.select("domain", part.alias("part"), F.col("m.text").alias("text"))
 
     def spread(_, domain: int, part: int, text: str | None) -> Iterator[tuple]:
         found, _ = features(text)
