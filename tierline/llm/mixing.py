@@ -8,8 +8,11 @@ fitted on another part of the sample makes the posteriors honest.
 Each document gets a nonnegative rate, its expected number of copies. Rates start at one
 and follow a projected gradient of the squared distance between expected domain totals,
 the sum of rate * tokens * posterior, and the targets. The step is scaled by the matrix
-of token-weighted posterior products, which bounds the curvature, so a full step never
-overshoots. A step needs one sum over all documents, of as many numbers as domains.
+of token-weighted posterior products, over the documents whose rate is not 0. Should such
+a step not reduce the distance, it is taken back and the matrix over all documents is
+used: that one bounds the curvature, so a full step never overshoots. A step needs one sum
+over all documents, of a few numbers per pair of domains. Steps end when the totals match;
+when they cannot be brought closer, the remaining gap is reported as a warning.
 Rates are rounded to whole copies by a hash of the row, right in expectation.
 
 Tokens are words here. Totals are kept at the target weights with the ``good`` domain at
@@ -24,6 +27,7 @@ an empty table gives no rows.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -43,8 +47,10 @@ MIN_GAIN = 15.0  # half a likelihood ratio of 30, about one chance find in three
 TEMPERATURES = (0.7, 1.0, 1.5, 2.0, 3.0, 5.0, 8.0, 12.0, 20.0)
 FIT_STEPS = 150
 PENALTY = 1e-5
-MAX_STEPS = 30
+MAX_STEPS = 200
 CLOSE = 1e-4
+LEAST_STEP = 1e-9  # change of a rate, below it only rounding is left
+LEAST_GAIN = 1e-3  # share of the squared distance that a step must remove
 
 
 def features(text: str | None) -> tuple[set[str], int]:
@@ -218,22 +224,55 @@ def fit_rates(mixed: DataFrame, names: Sequence[str], target: Sequence[float] =
     """Steps of the projected gradient for written ``mixed`` rows; see ``rate_after``."""
     tokens, *posteriors = (F.col(f"`{n}`") for n in names)
     size = len(posteriors)
-    sums = [F.sum(tokens * a * b) for a in posteriors for b in posteriors]
-    present = mixed.agg(*sums, *(F.sum(tokens * p) for p in posteriors)).first()
-    if present[0] is None or not sum(present[size * size :]):
+    def state(steps: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+        """Totals, and the curvature over rows whose rate is not 0."""
+        rated = mixed.select(tokens.alias("t"), *posteriors, rate_after(steps, names[1:]).alias("r"))
+        t, r = F.col("t"), F.col("r")
+        held = F.when(r > 0, t).otherwise(0)
+        sums = [F.sum(held * a * b) for a in posteriors for b in posteriors]
+        row = list(rated.agg(*sums, *(F.sum(r * t * p) for p in posteriors)).first())
+        if row[0] is None:
+            row = [0.0] * len(row)
+        return np.array(row[size * size :]), np.array(row[: size * size]).reshape(size, size)
+
+    totals, curvature = state([])
+    if not totals.sum():
         return []
-    curvature = np.array(present[: size * size]).reshape(size, size)
-    goal = np.array(target) / target[0] * present[size * size]
-    scale = np.linalg.pinv(curvature, rcond=1e-9)
-    steps: list[list[float]] = []
+    goal = np.array(target) / target[0] * totals[0]
+    steps, gap, left = descend(state, totals, curvature, goal)
+    if left > CLOSE:
+        warnings.warn(
+            f"mixing stopped after {len(steps)} steps at shares {np.round((goal + gap) / (goal + gap).sum(), 4).tolist()}, "
+            f"{left:.2g} of the total away from the targets {list(target)}",
+            stacklevel=2,
+        )
+    return steps
+
+
+def descend(state, totals: np.ndarray, curvature: np.ndarray, goal: np.ndarray) -> tuple[list[list[float]], np.ndarray, float]:
+    """Steps to ``goal``, the remaining gap, and its largest part as a share of the total.
+
+    ``state(steps)`` gives totals and curvature after steps; both are given for no steps.
+    """
+    safe = np.linalg.pinv(curvature, rcond=1e-9)
+    scale, gap, steps = safe, totals - goal, []
     for _ in range(MAX_STEPS):
-        rate = rate_after(steps, names[1:])
-        totals = mixed.agg(*(F.sum(rate * tokens * p) for p in posteriors)).first()
-        gap = np.array(list(totals)) - goal
         if np.abs(gap).max() <= CLOSE * goal.sum():
             break
-        steps.append((scale @ gap).tolist())
-    return steps
+        step = scale @ gap
+        if np.abs(step).max() < LEAST_STEP:
+            break
+        trial = [*steps, step.tolist()]
+        totals, curvature = state(trial)
+        after = totals - goal
+        if after @ safe @ after < (1 - LEAST_GAIN) * (gap @ safe @ gap):
+            steps, gap = trial, after
+            scale = np.linalg.pinv(curvature, rcond=1e-9)
+        elif scale is safe:
+            break
+        else:
+            scale = safe
+    return steps, gap, float(np.abs(gap).max() / goal.sum())
 
 
 def copies(rate: Column, *key: Column) -> Column:
