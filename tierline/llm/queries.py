@@ -10,7 +10,21 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from tierline.llm import edit_counts, html_text, mixing, neighbours, packing, quality, repeats, secrets, simhash, token_files
+from tierline.llm import (
+    alignment,
+    edit_counts,
+    html_text,
+    mixing,
+    near_fingerprints,
+    neighbours,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    simhash,
+    spelling,
+    token_files,
+)
 from tierline.llm.common import Store, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +85,25 @@ def op10_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_simhash_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_fingerprints.digest(
+        near_fingerprints.compare_edits(table(spark, sf_dir, "documents"), Store(spark))
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"), Store(spark))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(
+        table(spark, sf_dir, "documents"),
+        Store(spark),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_repeated_strings,
@@ -83,6 +116,9 @@ def queries() -> dict[str, Query]:
         op8_quality_rules,
         op9_edit_counts,
         op10_pattern_packing,
+        op11_simhash_tables,
+        op12_spelling_variants,
+        op13_tokenizer_alignment,
     ]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
