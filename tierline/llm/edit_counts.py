@@ -3,8 +3,8 @@
 A text is cut into leaves of a few hundred characters, at places where the tokenizer
 always cuts: before a single space between two other characters. A tree over the leaves
 holds the token sum of every subtree in one flat array. An edit touches a run of leaves;
-those are encoded again together with one leaf on either side, because a cut is only
-certain while the characters around it stay. Their new count goes to the first of them,
+those are encoded again together with one leaf on either side that holds text, because a
+cut is only certain while the characters around it stay. Their new count goes to the first of them,
 the others become empty, and only the sums above them change.
 
 Defined results: a null text is an empty one; null or empty edits leave a count as it is;
@@ -82,7 +82,7 @@ class TokenTree:
         for start, stop, new in todo:
             first = self._leaf(ends, start)
             last = self._leaf(ends, max(start, stop))
-            first, last = max(0, first - 1), min(len(ends) - 1, last + 1)
+            first, last = self._beside(first, -1), self._beside(last, 1)
             if runs and first <= runs[-1][1] + 1:
                 runs[-1][1] = max(last, runs[-1][1])
                 runs[-1][2].append((start, stop, new))
@@ -109,6 +109,13 @@ class TokenTree:
         out.append(text[at:])
         return "".join(out), encoded
 
+    def _beside(self, leaf: int, way: int) -> int:
+        """The next leaf that holds text, or the outermost one; earlier edits leave empty ones."""
+        at = leaf + way
+        while 0 < at < len(self.lengths) - 1 and not self.lengths[at]:
+            at += way
+        return min(max(at, 0), len(self.lengths) - 1)
+
     @staticmethod
     def _leaf(ends: list[int], place: int) -> int:
         low, high = 0, len(ends) - 1
@@ -137,31 +144,34 @@ def build_trees(
         slim.columns,
         row,
         "doc_id long, text string, lengths array<int>, sums array<long>",
-        lambda: encoder(vocabulary, True),
+        lambda: encoder(vocabulary, True, False),
     )
 
 
-def count_after(trees: DataFrame, edits: Column, vocabulary: str) -> DataFrame:
+def count_after(trees: DataFrame, edits: Column, vocabulary: str, *, with_trees: bool = False) -> DataFrame:
     """Token counts before and after ``edits``, an array of (start, stop, text) per row.
 
     Returns ``doc_id, n_tokens, n_tokens_after, n_encoded``: the last is how many
-    characters were encoded again.
+    characters were encoded again. ``with_trees`` adds the edited ``text`` and its tree,
+    ``lengths`` and ``sums``, on which later edits can build.
     """
 
     def row(counter: Encoder, doc_id, text, lengths, sums, edits) -> Iterator[tuple]:
         tree = TokenTree(lengths, sums)
         before = tree.total
         todo = [tuple(e.values()) for e in edits or () if e]
-        _, encoded = tree.edit(text, todo, counter)
-        yield doc_id, before, tree.total, encoded
+        after, encoded = tree.edit(text, todo, counter)
+        own = (after, tree.lengths, tree.sums) if with_trees else ()
+        yield doc_id, before, tree.total, encoded, *own
 
     given = trees.withColumn("edits", edits)
     return map_rows(
         given,
         ["doc_id", "text", "lengths", "sums", "edits"],
         row,
-        "doc_id long, n_tokens long, n_tokens_after long, n_encoded long",
-        lambda: encoder(vocabulary, True),
+        "doc_id long, n_tokens long, n_tokens_after long, n_encoded long"
+        + (", text string, lengths array<int>, sums array<long>" if with_trees else ""),
+        lambda: encoder(vocabulary, True, False),
     )
 
 
