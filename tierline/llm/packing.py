@@ -134,13 +134,18 @@ class _Plan:
         at = bisect_right(self.lengths, high) - 1
         return self.lengths[at] if at >= 0 and self.lengths[at] >= low else None
 
-    def repeat(self, pattern: tuple[int, ...], times: int, width: int) -> None:
+    def repeat(self, pattern: tuple[int, ...], times: int, classes: int) -> None:
+        """Fill sequences by ``pattern``; class ``k`` ends at ``k`` parts of ``classes`` of a sequence."""
+
+        def top(size: int) -> int:
+            return size * self.capacity // classes
+
         while times:
             chosen: list[int] = []
             room = self.capacity
             for k, size in enumerate(pattern):
                 last = k == len(pattern) - 1
-                low, high = (1, room) if last else (width * (size - 1) + 1, min(width * size, room))
+                low, high = (1, room) if last else (top(size - 1) + 1, min(top(size), room))
                 length = self.longest(low, high)
                 if length is None:
                     return
@@ -182,11 +187,11 @@ def plan_slots(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[i
     """Slots (length, first rank, n, first sequence, offset) for a length histogram."""
     plan = _Plan(counts, capacity)
     classes = min(CLASSES, capacity)
-    width = capacity // classes
-    if plan.left and width * classes == capacity:
+    if plan.left:
         histogram = np.zeros(classes + 1)
         for length, n in plan.left.items():
-            histogram[-(-length // width)] += n
+            # The least class whose end, rounded down, reaches the length.
+            histogram[-(-length * classes // capacity)] += n
         patterns = class_patterns(classes)
         a = np.zeros((classes + 1, len(patterns)))
         for k, pattern in enumerate(patterns):
@@ -195,18 +200,23 @@ def plan_slots(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[i
         # The smallest classes fill gaps later; patterns of large pieces come first.
         times = np.floor(nonnegative_least_squares(a, histogram)).astype(int)
         for k in np.flatnonzero(times):
-            plan.repeat(patterns[k], int(times[k]), width)
+            plan.repeat(patterns[k], int(times[k]), classes)
     plan.best_fit()
     return plan.slots
 
 
-def place_pieces(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to written ``pieces``."""
-    spark = pieces.sparkSession
-    slices = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sliced = pieces.withColumn(
-        "slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(slices)).cast("int")
-    )
+def with_slice(pieces: DataFrame) -> DataFrame:
+    """Number the slices that :func:`place_pieces` ranks in, by row position.
+
+    So equal pieces spread as well. Write the result: a repeated task must see the same slice.
+    """
+    slices = max(8, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    position = F.xxhash64(F.monotonically_increasing_id())
+    return pieces.withColumn("slice", F.pmod(position, F.lit(slices)).cast("int"))
+
+
+def place_pieces(sliced: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
+    """Add ``sequence_id`` and ``offset`` to the written pieces of :func:`with_slice`."""
     per_slice = sliced.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
     base = per_slice.select(
         "length",
@@ -217,7 +227,7 @@ def place_pieces(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     ranked = sliced.withColumn("row", F.row_number().over(within) - 1).join(base, ["length", "slice"])
     ranked = ranked.withColumn("rank", F.col("base") + F.col("row"))
 
-    counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r.length: r.n for r in sliced.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     slots = sorted(plan_slots(counts, capacity))
     table = np.array(slots, dtype=np.int64).reshape(-1, 5)
     keys = table[:, 0] * (1 << 44) + table[:, 1]
@@ -240,4 +250,4 @@ def place_pieces(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
 def pack(docs: DataFrame, vocabulary: str, store: Store | None = None, **columns) -> DataFrame:
     """Pieces of ``docs`` with their sequence and offset."""
     store = store or Store(docs.sparkSession)
-    return place_pieces(store.keep(cut_pieces(docs, vocabulary, **columns), "pieces"))
+    return place_pieces(store.keep(with_slice(cut_pieces(docs, vocabulary, **columns)), "pieces"))
