@@ -208,7 +208,7 @@ def _deal(docs: DataFrame, store: Store, id_column: str, text_column: str) -> Da
 def _ranges(hits: DataFrame) -> DataFrame:
     """Per row, its blocks as one flat array of first and last windows."""
     pairs = F.flatten(F.collect_list(F.array("first", "last"))).alias("ranges")
-    return hits.groupBy("row").agg(pairs).hint("shuffle_hash")
+    return hits.groupBy("row").agg(pairs)
 
 
 def repeated_windows(dealt: DataFrame, store: Store, length: int = LENGTH) -> DataFrame:
@@ -304,11 +304,12 @@ def remove_repeats(
 
 
 def digest(removed: DataFrame) -> DataFrame:
-    """Counts and the SHA-256 of what is kept."""
+    """Counts and the SHA-256 of what is kept, and the kept text as far as it is UTF-8."""
     return removed.select(
         "doc_id",
         "n_bytes",
         (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.expr("make_valid_utf8(cast(kept AS string))").alias("text"),
     )
