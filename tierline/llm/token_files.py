@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import map_rows
@@ -35,9 +35,10 @@ from tierline.llm.tokens import encoder
 MAGIC = b"TKD1"
 SEGMENT_SCHEMA = "part int, start_in_part long, n_tokens long, n_docs long, image binary"
 
-# Bounds of the sample that the dictionary is trained on.
+# Bounds of the sample that the dictionary is trained on: about so many different texts,
+# whole, as far as they fit these bytes.
 SAMPLE_DOCS = 2_000
-SAMPLE_CHARS = 8_000
+SAMPLE_BYTES = 16 * 1024 * 1024
 DICTIONARY_BYTES = 32 * 1024
 SEGMENT_BYTES = 4 * 1024 * 1024
 
@@ -45,16 +46,17 @@ SEGMENT_BYTES = 4 * 1024 * 1024
 def train_dictionary(
     docs: DataFrame, vocabulary: str, *, id_column: str = "doc_id", text_column: str = "text"
 ) -> bytes:
-    """Dictionary for the id arrays of ``docs``, from about ``SAMPLE_DOCS`` rows.
+    """Dictionary for the id arrays of ``docs``, from about ``SAMPLE_DOCS`` whole texts.
 
+    Rows are chosen by the hash of their id and text, equal rows once, and taken in order
+    of the hash until ``SAMPLE_BYTES`` are reached, so the same rows give the same bytes.
     Where the sample is too small to train on, its own id arrays are the dictionary.
     """
     rows = max(1, docs.count())
-    sample = (
-        docs.where(F.pmod(F.xxhash64(id_column, text_column), F.lit(rows)) < SAMPLE_DOCS)
-        .select(F.substring(text_column, 1, SAMPLE_CHARS).alias("text"))
-        .limit(2 * SAMPLE_DOCS)
-    )
+    hashed = docs.select(F.xxhash64(id_column, text_column).alias("hash"), F.col(text_column).alias("text"))
+    chosen = hashed.where(F.pmod("hash", F.lit(rows)) < SAMPLE_DOCS).dropDuplicates(["hash"])
+    before = F.sum(F.octet_length("text")).over(Window.orderBy("hash")) - F.octet_length("text")
+    sample = chosen.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES).orderBy("hash").select("text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, True).encode
@@ -126,9 +128,14 @@ def write_tokens(
         1
     ).write.mode("overwrite").parquet(f"{path}/dictionary")
 
-    order = [F.col("doc_id"), F.xxhash64("text")]
+    # The row's number deals rows that are equal otherwise over several ranges.
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("number")]
     ordered = (
-        docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+        docs.select(
+            F.col(id_column).cast("long").alias("doc_id"),
+            F.col(text_column).alias("text"),
+            F.monotonically_increasing_id().alias("number"),
+        )
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
