@@ -77,7 +77,7 @@ class Tokenizers:
     def __init__(self, byte_vocabulary: str, piece_model: str) -> None:
         import sentencepiece
 
-        self.encoder = Encoder(byte_vocabulary, spaced=True)
+        self.encoder = Encoder(byte_vocabulary, spaced=True, special=False)
         self.a = Vocabulary(byte_entries(byte_vocabulary))
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_model)
         self.b = Vocabulary(piece_entries(self.pieces))

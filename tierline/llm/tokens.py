@@ -6,6 +6,9 @@ order, for any cut that falls only where the pre-tokenizer cuts as well. The cut
 here are of that kind, and a piece that has been encoded before is looked up: most
 of a text is words seen earlier. The memory for pieces is bounded; it is emptied
 when full, which costs time and changes no id.
+
+A text that holds the string of a special token goes to the library whole, as there the
+string is cut out before anything else.
 """
 
 from __future__ import annotations
@@ -37,31 +40,40 @@ SPACED_PIECES = _pieces(" ?", f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 # Vocabularies with word ends drop white space and never reach across it.
 WORD_PIECES = _pieces("", "")
 
-MAX_PIECES = 800_000
+# Bytes of remembered pieces, and about what one takes besides its characters and ids.
+MEMORY = 64 * 1024 * 1024
+PIECE_BYTES = 190
 LONG_PIECE = 64
 
 
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
-    ``encode(None)`` and ``encode('')`` give no ids. Strings of special tokens in a
-    text are ordinary text.
+    ``encode(None)`` and ``encode('')`` give no ids. No special token is added. Strings of
+    special tokens in a text are their ids if ``special``, ordinary text otherwise.
     """
 
-    def __init__(self, vocabulary: str, spaced: bool) -> None:
+    def __init__(self, vocabulary: str, spaced: bool, special: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content.lower() for token in added] if special else []
         self.pieces = SPACED_PIECES if spaced else WORD_PIECES
         self.known = _Known(self.tokenizer)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.special:
+            lowered = text.lower()
+            if any(token in lowered for token in self.special):
+                return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         known = self.known
-        if len(known) > MAX_PIECES:
+        if known.held > MEMORY:
             known.clear()
+            known.held = 0
         return b"".join(map(known.__getitem__, self.pieces.findall(text)))
 
     def count(self, text: str | None) -> int:
@@ -84,6 +96,7 @@ class _Known(dict):
 
     def __init__(self, tokenizer) -> None:
         super().__init__()
+        self.held = 0
         self.normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else None
         self.cut = tokenizer.pre_tokenizer.pre_tokenize_str
         self.tokenize = tokenizer.model.tokenize
@@ -94,13 +107,18 @@ class _Known(dict):
             ids = [t.id for t in self.tokenize(text.encode().decode("latin-1").translate(ALPHABET))]
         else:
             ids = [t.id for part, _ in self.cut(text) for t in self.tokenize(part)]
-        out = struct.pack(f"<{len(ids)}I", *ids)
+        out = _packed(ids)
         if len(piece) <= LONG_PIECE:
             self[piece] = out
+            self.held += PIECE_BYTES + len(piece) + len(out)
         return out
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(vocabulary: str, spaced: bool) -> Encoder:
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@functools.lru_cache(maxsize=1)
+def encoder(vocabulary: str, spaced: bool, special: bool = True) -> Encoder:
     """One encoder per worker process: later tasks find the pieces of earlier ones."""
-    return Encoder(vocabulary, spaced)
+    return Encoder(vocabulary, spaced, special)
