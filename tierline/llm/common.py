@@ -36,6 +36,17 @@ class Store:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+SLICE_BYTES = 4 * 1024 * 1024
+
+
+def slices(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, of at most ``rows`` rows and about ``SLICE_BYTES`` bytes each."""
+    each = batch.nbytes // max(1, batch.num_rows) + 1
+    step = max(1, min(rows, SLICE_BYTES // each))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
 def map_rows(
     df: DataFrame,
     columns: Sequence[str],
@@ -55,8 +66,7 @@ def map_rows(
         state = start() if start else None
         types = [_arrow(part.split(None, 1)[1]) for part in _fields(schema)]
         for batch in batches:
-            for at in range(0, batch.num_rows, slice_rows):
-                part = batch.slice(at, slice_rows)
+            for part in slices(batch, slice_rows):
                 values = [part.column(i).to_pylist() for i in range(part.num_columns)]
                 out = [t for v in zip(*values) for t in row(state, *v)]
                 if out:

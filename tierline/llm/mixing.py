@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import map_rows
+from tierline.llm.common import map_rows, slices
 from tierline.llm.quality import SYMBOLS
 
 DOMAINS = ("good", "poor", "toxic")
@@ -189,7 +189,7 @@ def annotate(docs: DataFrame, model: Classifier, names: Sequence[str], text_colu
     at = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             tokens, posteriors = [], []
             for text in batch.column(at).to_pylist():
                 found, n = features(text)

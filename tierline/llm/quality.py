@@ -3,9 +3,11 @@
 Base counts come from each whole text. The rules compare a ratio of such counts with a
 cutoff. Cutoffs are not set by hand: for each stratum and rule, the strictest cutoff of
 a fixed grid is taken for which labelled good documents show, by an exact binomial test,
-a false rejection rate of at most ``risk / rules``. The tests of all strata, rules and
-cutoffs share one error probability by Bonferroni's correction, so with probability
-``1 - error`` no stratum loses more than ``risk`` of its good documents to the rules.
+a false rejection rate of at most ``risk / rules``. Cutoffs are tested from loose to
+strict and the first failure ends the sequence, so the tests of one stratum and rule need
+no correction among themselves; strata and rules share the error probability by
+Bonferroni's correction. So with probability ``1 - error`` no stratum loses more than
+``risk`` of its good documents to the rules.
 A stratum with too few labels gets no cutoff and loses nothing.
 
 Defined results: a null or empty text has no words, all counts 0, and fails the base
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.llm.common import WORD_PATTERN, map_rows
+from tierline.llm.common import WORD_PATTERN, map_rows, slices
 
 WORDS = re.compile(WORD_PATTERN)
 SYMBOLS = "#*$%&|<>"  # fixed value
@@ -165,7 +167,7 @@ def fit_cutoffs(
     histograms: dict[tuple[str | None, str], list[int]] = {}
     for r in rows:
         histograms.setdefault((r.stratum, r.rule), [0] * (GRID + 1))[r["at"]] += r.n
-    share = error / max(1, GRID * len(histograms))
+    share = error / max(1, len(histograms))
     found = {}
     for key, bars_of in histograms.items():
         from_t = [sum(bars_of[t:]) for t in range(GRID + 1)]
@@ -223,8 +225,8 @@ def keep_good(
     at = docs.columns.index(text_column)
 
     def annotate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = zip(*map(text_counts, batch.column(at).to_pylist())) if batch.num_rows else [[]] * 6
+        for batch in (part for whole in batches for part in slices(whole)):
+            counts = zip(*map(text_counts, batch.column(at).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array(c, pa.int64()) for c in counts)],
                 names=[*batch.schema.names, *names],

@@ -30,7 +30,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import map_rows
+from tierline.llm.common import map_rows, slices
 
 # The base patterns.
 ASSIGN = re.compile(
@@ -251,7 +251,7 @@ def mask_secrets(docs: DataFrame, store, *, text_column: str = "text", fdr: floa
     def masked(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             texts = [t and mask_text(t, first_dismissed) for t in batch.column(at).to_pylist()]
             columns = list(batch.columns)
             columns[at] = pa.array(texts, type=batch.schema.field(at).type)
