@@ -83,7 +83,8 @@ def test_repeats_match_all_windows(docs, store):
         gone = np.cumsum(gone)[:-1] > 0
         spans = int((gone[1:] & ~gone[:-1]).sum() + (len(gone) and gone[0]))
         kept = bytes(np.frombuffer(t, np.uint8)[~gone])
-        wanted.append((doc_id, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+        digest = hashlib.sha256(kept).hexdigest()
+        wanted.append((doc_id, len(t), int(gone.sum()), spans, digest, kept.decode(errors="replace")))
     got = [tuple(r) for r in repeats.digest(repeats.remove_repeats(docs, store)).collect()]
     assert sorted(got, key=str) == sorted(wanted, key=str)
     assert any(w[2] and w[2] < w[1] for w in wanted)
@@ -206,7 +207,6 @@ def test_extract_keeps_rows(spark):
 
 def whole_ids(vocabulary, text, end):
     t = Tokenizer.from_file(vocabulary)
-    t.encode_special_tokens = True
     return np.array([*t.encode(text or "", add_special_tokens=False).ids, end], dtype="<u4")
 
 
@@ -223,6 +223,9 @@ def test_token_files_round_trip(docs, empty, store, spark):
         assert [s for _, s, _, _ in got] == [0, *np.cumsum([n for _, _, n, _ in got])[:-1].tolist()]
         ids = [i for i, *_ in got]
         assert ids == sorted(ids, key=lambda i: (i is not None, i))
+    # The dictionary takes whole texts, equal rows once, whatever the order of the rows.
+    again = docs.repartition(5).union(docs)
+    assert token_files.train_dictionary(again, BYTES) == token_files.train_dictionary(docs.union(docs), BYTES)
     with pytest.raises(ValueError):
         token_files.Segment(token_files.pack_segment(b"0" * 32, []), b"other dictionary")
 
@@ -282,10 +285,48 @@ def test_quality_counts_and_cutoffs(docs, empty, labels, store):
     assert quality.cutoff([100] + [0] * quality.GRID, 100, 0.01, 1e-4) is None
 
 
+def test_verdicts_equal_plain_fixed_sequences(spark, store):
+    """Cutoffs by exact sums over all labelled texts, for the rules of each language."""
+    r = random.Random(13)
+    rows, tags = [], []
+    for i in range(1600):
+        lang = r.choice(["en", "en", "de", None])
+        text = words(i, 60) + " #" * (r.randint(0, 3) if r.random() < 0.98 else 60) + "\nsame line" * r.choice([0, 0, 1])
+        if r.random() < 0.1:
+            text += " ### $$$" * 40 + "\nagain" * 30
+        rows.append((i, text, lang, "s", 0, 0, 0, 0))
+        tags.append((i, int(r.random() < 0.9), 0))
+    df = spark.createDataFrame([*rows, (2000, None, "en", "s", 0, 0, 0, 0)], SCHEMA)
+    labels = spark.createDataFrame([*tags, (5, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    risk, error = 0.15, 0.2
+    got = {x.doc_id: x.kept for x in quality.judge(df, labels, store, risk=risk, error=error).collect()}
+    good = {i for i, q, _ in tags if q == 1} - {5}
+    shares, base = {}, {}
+    for i, text, lang, *_ in rows:
+        n, chars, marks, again, repeated, lines = slow_counts(text)
+        base[i] = n >= 50 and 100 * repeated <= 50 * n
+        parts = (marks, chars), (again, lines), (repeated, n)
+        shares[i] = (lang, [min(100, 100 * a // b) if b else 0 for a, b in parts])
+    held = {lang: [shares[i][1] for i in good if base[i] and shares[i][0] == lang] for lang in ("en", "de", None)}
+    tested = {k: v for k, v in held.items() if (1 - risk / 3) ** len(v) <= error}
+    cut = {}
+    for lang, found in tested.items():
+        for rule in range(3):
+            for t in range(100, 0, -1):
+                k, n, p = sum(f[rule] >= t for f in found), len(found), risk / 3
+                tail = math.fsum(math.comb(n, x) * p**x * (1 - p) ** (n - x) for x in range(k + 1))
+                if tail > error / (3 * len(tested)):
+                    break
+                cut[lang, rule] = t
+    want = {i: base[i] and not any(f[k] >= cut.get((lang, k), 101) for k in range(3)) for i, (lang, f) in shares.items()}
+    assert got == want | {2000: False}
+    assert len(cut) > 3 and sum(base[i] and not want[i] for i in want) > 20
+
+
 def test_edits_equal_a_full_count(docs, empty, store):
     trees = store.keep(edit_counts.build_trees(docs, BYTES), "trees")
     counted = edit_counts.count_after(trees, edit_counts.sample_edits(), BYTES).collect()
-    counter = encoder(BYTES, True)
+    counter = encoder(BYTES, True, False)
     r = random.Random(9)
     assert Counter((c.doc_id, c.n_tokens) for c in counted) == Counter((i, counter.count(t)) for i, t, *_ in ROWS)
     assert edit_counts.build_trees(empty, BYTES).count() == 0
@@ -301,6 +342,28 @@ def test_edits_equal_a_full_count(docs, empty, store):
             assert new == text and tree.total == counter.count(text)
 
 
+def test_successive_edits_at_leaf_borders(spark, store):
+    counter = encoder(BYTES, True, False)
+    r = random.Random(10)
+    text = " ".join(r.choice(["work", "ing", "he", "re", "un", "do", "naïve", "don't"]) for _ in range(900))
+    tree = edit_counts.TokenTree.of(text, counter)
+    for _ in range(400):
+        borders = np.cumsum(tree.lengths).tolist()
+        at = min(len(text), max(0, r.choice(borders) + r.randint(-1, 1)))
+        stop = min(len(text), at + r.choice([0, 0, 1, 5, 900 if r.random() < 0.02 else 2]))
+        new = r.choice(["ing", " ", "", "  x", "'s", "\n", " un"])
+        edited, _ = tree.edit(text, [(at, stop, new)], counter)
+        text = text[:at] + new + text[stop:]
+        assert edited == text and tree.total == counter.count(text)
+    # The same through the tables: each round builds on the trees of the one before.
+    df = spark.createDataFrame(rows_of([words(12, 300), "", None]), SCHEMA)
+    trees = store.keep(edit_counts.build_trees(df, BYTES), "t0")
+    for k in range(3):
+        after = edit_counts.count_after(trees, edit_counts.sample_edits(), BYTES, with_trees=True)
+        trees = store.keep(after, f"t{k + 1}")
+        assert all(row.n_tokens_after == counter.count(row.text) for row in trees.collect())
+
+
 def test_packing_is_gapless_and_tight(docs, empty, store):
     got = [r.asDict() for r in packing.pack(docs, WORDS, store).collect()]
     want = Counter()
@@ -318,6 +381,31 @@ def test_packing_is_gapless_and_tight(docs, empty, store):
     assert packing.pack(empty, WORDS, store).count() == 0
 
 
+def test_equal_pieces_spread_and_keep_their_places(spark, store):
+    df = spark.createDataFrame([(7, "same words in every row")] * 900 + [(8, "other")] * 10, "doc_id long, text string")
+    sliced = store.keep(packing.with_slice(packing.cut_pieces(df.repartition(3), WORDS)), "sliced")
+    per_slice = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+    assert len(per_slice) >= 8 and max(per_slice) < 300
+    got = packing.place_pieces(sliced).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == 910
+
+
+@pytest.mark.parametrize("capacity", [4096, 1000, 130, 97, 5])
+def test_plan_takes_any_capacity(capacity):
+    r = np.random.default_rng(capacity)
+    lengths = np.clip(np.exp(r.normal(math.log(capacity) - 1, 1, 5_000)).astype(int), 1, capacity)
+    counts = dict(zip(*(a.tolist() for a in np.unique(lengths, return_counts=True))))
+    slots = packing.plan_slots(counts, capacity)
+    placed, filled = Counter(), Counter()
+    for length, _, n, sequence, offset in slots:
+        placed[length] += n
+        for k in range(n):
+            filled[sequence + k] += length
+            assert offset + length <= capacity
+    assert placed == counts and max(filled.values()) <= capacity
+    assert len(filled) <= 1.02 * math.ceil(lengths.sum() / capacity) + 1
+
+
 def test_plan_is_near_the_bound():
     r = np.random.default_rng(3)
     lengths = np.clip(np.exp(r.normal(6.5, 1.1, 20_000)).astype(int), 1, 4096)
