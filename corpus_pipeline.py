@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm import mixing, packing, quality, secrets, similar, simhash
+from tierline.llm import mixing, packing, quality, secrets, simhash
 from tierline.llm.common import Store, table
 
 
@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group linked by a five-word shingle similarity of 0.8 or more."""
-    return simhash.keep_first(docs, Store(spark), groups=similar.near_duplicates)
+    """One document of every group whose fingerprints are linked, as operator 3 links them."""
+    return simhash.keep_first(docs, Store(spark))
 
 
 def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
