@@ -92,20 +92,27 @@ def edited_texts(named: DataFrame, following: DataFrame) -> DataFrame:
     """Keys, ``is_copy``, ``rows``, ``next_*``, ``text`` and ``edited``, one row per succession.
 
     Texts are shuffled once, by their key; only the code points an edit takes travel
-    from one document to the one before it.
+    from one document to the one before it, together with what is known of that one.
     """
     texts = named.dropDuplicates(KEY)
     wanted = following.select(
-        *[F.col(c).alias(f"to_{c}") for c in KEY], "is_copy", "take", *[F.col(f"next_{c}").alias(c) for c in KEY]
+        *[F.col(c).alias(f"to_{c}") for c in KEY],
+        "is_copy",
+        "rows",
+        "take",
+        *[F.col(f"next_{c}").alias(c) for c in KEY],
     )
+    size = F.col("take").cast("int")
     taken = texts.join(wanted, KEY).select(
         *[F.col(f"to_{c}").alias(c) for c in KEY],
         "is_copy",
-        F.when(F.col("take") > 0, F.substring("text", F.lit(1), F.col("take").cast("int"))).otherwise("").alias("taken"),
+        "rows",
+        "take",
+        *[F.col(c).alias(f"next_{c}") for c in KEY],
+        F.when(size > 0, F.substring("text", F.lit(1), size)).otherwise("").alias("taken"),
     )
-    own = texts.join(following, KEY)
-    kept = F.substring("text", F.lit(1), (F.length("text") - F.col("take")).cast("int"))
-    return own.join(taken, [*KEY, "is_copy"]).withColumn("edited", F.concat(kept, "taken")).drop("taken")
+    kept = F.substring("text", F.lit(1), F.length("text") - size)
+    return texts.join(taken, KEY).withColumn("edited", F.concat(kept, "taken")).drop("take", "taken")
 
 
 def _terms(text: Column) -> Column:
