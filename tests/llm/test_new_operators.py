@@ -274,17 +274,32 @@ def test_runs_cut_at_common_ends(sizes, rnd, window):
     total = sum(sizes)
     a = np.cumsum(sizes)
     b = np.array(sorted({total, *rnd.sample(range(1, total + 1), rnd.randint(0, total))}))
-    found = [g for part in alignment.groups(a, b, window) for g in part]
-    ends = []
-    for i, i2, j, j2 in found:
-        assert a[i2 - 1] == b[j2 - 1]
-        if a[i] == b[j]:
-            assert (a[i:i2] == b[j:j2]).all()
-            ends += a[i:i2].tolist()
+    found = np.concatenate(list(alignment.groups(a, b, window))).tolist()
+    ends, at = [], [0, 0]
+    for i, j, n, p, q in found:
+        assert [i, j] == at
+        assert (a[i : i + n] == b[j : j + n]).all()
+        ends += a[i : i + n].tolist()
+        if p > i + n:
+            assert a[p - 1] == b[q - 1] and (p - i - n, q - j - n) != (1, 1)
+            ends.append(int(a[p - 1]))
         else:
-            ends.append(int(a[i2 - 1]))
-    assert ends == sorted(set(a.tolist()) & set(b.tolist()))
-    assert [g[0] for g in found[1:]] == [g[1] for g in found[:-1]] and found[-1][1::2] == (len(a), len(b))
+            assert q == j + n
+        at = [p, q]
+    assert ends == sorted(set(a.tolist()) & set(b.tolist())) and at == [len(a), len(b)]
+
+
+def test_byte_ids_equal_the_library_call():
+    tokenizers = alignment.Tokenizers(BYTES, PIECES)
+    t = Tokenizer.from_file(BYTES)
+    t.encode_special_tokens = True
+    r = random.Random(11)
+    signs = [*" \n\t  \x1c\x85\xa0ab'sé\u0301Σ1٣.,!<>|中　K\u200b ", "'s", "  ", "<|endoftext|>", "\n \n", "ab,", "x" * 600, "😀"]
+    for _ in range(600):
+        text = "".join(r.choice(signs) for _ in range(r.randint(0, 30)))
+        a = np.array(tokenizers.encoding.encode_ordinary(text))
+        assert a.tolist() == t.encode(text, add_special_tokens=False).ids
+        assert tokenizers.a.text(a) == text.encode()
 
 
 def test_windows_do_not_change_the_result():

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import map_rows
-from tierline.llm.tokens import ALPHABET, Encoder
+from tierline.llm.tokens import ALPHABET
 
 WINDOW = 1 << 15
 SPACE_MARK = "▁"
@@ -54,7 +54,7 @@ def byte_entries(vocabulary: str) -> list[bytes]:
         found = json.load(file)
     back = {letter: byte for byte, letter in ALPHABET.items()}
     ids = dict(found["model"]["vocab"])
-    ids |= {added["content"]: added["id"] for added in found.get("added_tokens", [])}
+    ids |= {content: at for at, content in _added(found).items()}
     entries = [b""] * (max(ids.values()) + 1)
     for entry, at in ids.items():
         entries[at] = bytes(back[c] if c in back else ord(c) for c in entry)
@@ -71,87 +71,161 @@ def piece_entries(model) -> list[bytes]:
     return [entry(at) for at in range(model.get_piece_size())]
 
 
+# How many names of pairs and groups are remembered, and of groups how long ones.
+PAIR_NAMES, GROUPS, LONG_GROUP = 1 << 17, 1 << 16, 16
+
+
+def byte_encoding(vocabulary: str, entries: list[bytes]):
+    """The vocabulary file for the ``tiktoken`` library, which encodes the same ids faster.
+
+    It joins the pair of least rank first and takes ids for ranks, which is right where the
+    file lists its merges in the order of the ids they make; anything else is refused.
+    """
+    import public_tokenizers
+    import tiktoken
+
+    with open(vocabulary, encoding="utf-8") as file:
+        found = json.load(file)
+    vocab = found["model"]["vocab"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in found["model"]["merges"]]
+    made = [vocab["".join(m)] for m in merges]
+    if made != sorted(made) or len({e for e in entries if len(e) == 1}) < 256:
+        raise ValueError("not a byte-level vocabulary in the order of its merges")
+    ranks = {entries[at]: at for at in vocab.values() if at not in _added(found)}
+    return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def _added(found: dict) -> dict[int, str]:
+    return {added["id"]: added["content"] for added in found.get("added_tokens", [])}
+
+
 class Tokenizers:
     """Both vocabularies of one task."""
 
     def __init__(self, byte_vocabulary: str, piece_model: str) -> None:
         import sentencepiece
 
-        self.encoder = Encoder(byte_vocabulary, spaced=True, special=False)
         self.a = Vocabulary(byte_entries(byte_vocabulary))
+        self.encoding = byte_encoding(byte_vocabulary, self.a.entries)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_model)
         self.b = Vocabulary(piece_entries(self.pieces))
+        self.pair_names = _PairNames()
+        self.irregular = _Irregular(self.a, self.b)
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of ``text`` in both; none where their bytes are not those of the text."""
+        """Ids of ``text`` in both; none where their bytes are not those of the text.
+
+        Special tokens are in neither vocabulary here, so their strings are plain text.
+        """
         none = np.zeros(0, np.int64)
         if not text:
             return none, none
         spaced = " " + text
-        a = np.frombuffer(self.encoder.encode(spaced), dtype="<u4").astype(np.int64)
         b = np.array(self.pieces.encode(text, num_threads=1), dtype=np.int64)
         wanted = spaced.encode()
-        if self.a.text(a) != wanted or self.b.text(b) != wanted:
+        if self.b.text(b) != wanted:
+            return none, none
+        a = np.array(self.encoding.encode_ordinary(spaced), dtype=np.int64)
+        # A gives back every byte; the sum of sizes would show if it did not.
+        if self.a.sizes[a].sum() != len(wanted):
             return none, none
         return a, b
 
 
-def runs(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """Groups of two arrays of ends that start at one offset, as ``i, i_end, j, j_end``.
+class _PairNames(dict):
+    """``a << 32 | b`` to ``'a|b'``; emptied when full."""
+
+    def __missing__(self, pair: int) -> str:
+        if len(self) >= PAIR_NAMES:
+            self.clear()
+        self[pair] = name = f"{pair >> 32}|{pair & 0xFFFFFFFF}"
+        return name
+
+
+class _Irregular(dict):
+    """A group's ids in A and B, as tuples, to its name and its links; emptied when full."""
+
+    def __init__(self, a: Vocabulary, b: Vocabulary) -> None:
+        super().__init__()
+        self.a, self.b = a, b
+
+    def __missing__(self, group: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[str, list[int]]:
+        a, b = group
+        name = ",".join([self.a.names[x] for x in a]) + "|" + ",".join([self.b.names[x] for x in b])
+        ends = (np.cumsum(v.sizes[list(ids)]).tolist() for v, ids in ((self.a, a), (self.b, b)))
+        links = [a[x] << 32 | b[y] for x, y in zip(*_links(*ends))]
+        if len(a) + len(b) <= LONG_GROUP:
+            if len(self) >= GROUPS:
+                self.clear()
+            self[group] = name, links
+        return name, links
 
-    One-to-one stretches come as one tuple with ``i_end - i == j_end - j`` and equal ends;
-    other groups come one by one. A group that an array does not close is left out.
+
+def runs(a: list[int], b: list[int]) -> list[int]:
+    """Stretches of two arrays of ends that start at one offset, five numbers after another.
+
+    ``i, j, n, p, q``: ``n`` one-to-one groups from ``a[i]`` and ``b[j]`` on, then, unless
+    ``p == i + n``, a group of several tokens that ends before ``a[p]`` and ``b[q]``. A
+    group that an array does not close is left out.
     """
+    found: list[int] = []
     i = j = 0
-    n, m = len(a), len(b)
-    while i < n and j < m:
-        if a[i] == b[j]:
-            length, step = 1, 2
-            # Probe ahead on this diagonal with stretches that double while they agree.
-            while True:
-                left = a[i + length : i + length + step]
-                right = b[j + length : j + length + step]
-                if left == right and len(left) == step:
-                    length += step
-                    step *= 2
-                    continue
-                for x, y in zip(left, right):
-                    if x != y:
+    last_a, last_b = len(a), len(b)
+    while i < last_a and j < last_b:
+        # Probe ahead on this diagonal with stretches that double while they agree.
+        p, q, step = i, j, 4
+        while True:
+            left, right = a[p : p + step], b[q : q + step]
+            if left == right and len(left) == step:
+                p += step
+                q += step
+                step *= 2
+                continue
+            for x, y in zip(left, right):
+                if x != y:
+                    break
+                p += 1
+                q += 1
+            break
+        n = p - i
+        if p < last_a and q < last_b:
+            # Close the group that differs by stepping the side that is behind.
+            x, y = a[p], b[q]
+            while x != y:
+                if x < y:
+                    p += 1
+                    if p == last_a:
                         break
-                    length += 1
-                break
-            yield i, i + length, j, j + length
-            i += length
-            j += length
-            continue
-        p, q = i, j
-        x, y = a[p], b[q]
-        while x != y:
-            if x < y:
+                    x = a[p]
+                else:
+                    q += 1
+                    if q == last_b:
+                        break
+                    y = b[q]
+            if x == y:
                 p += 1
-                if p == n:
-                    return
-                x = a[p]
-            else:
                 q += 1
-                if q == m:
-                    return
-                y = b[q]
-        yield i, p + 1, j, q + 1
-        i, j = p + 1, q + 1
+                found += (i, j, n, p, q)
+                i, j = p, q
+                continue
+        if n:
+            found += (i, j, n, i + n, j + n)
+        break
+    return found
 
 
-def groups(a_ends: np.ndarray, b_ends: np.ndarray, window: int = WINDOW) -> Iterator[list[tuple[int, int, int, int]]]:
-    """:func:`runs` of whole arrays, window by window, with indices into the arrays."""
+def groups(a_ends: np.ndarray, b_ends: np.ndarray, window: int = WINDOW) -> Iterator[np.ndarray]:
+    """:func:`runs` of whole arrays, window by window, a row each, with indices into the arrays."""
     i = j = 0
     size = window
     while i < len(a_ends):
-        found = list(runs(a_ends[i : i + size].tolist(), b_ends[j : j + size].tolist()))
+        found = runs(a_ends[i : i + size].tolist(), b_ends[j : j + size].tolist())
         if not found:
             size *= 2
             continue
-        yield [(p + i, p2 + i, q + j, q2 + j) for p, p2, q, q2 in found]
-        i, j, size = i + found[-1][1], j + found[-1][3], window
+        rows = np.array(found, dtype=np.int64).reshape(-1, 5) + [i, j, 0, i, j]
+        yield rows
+        (i, j), size = rows[-1, 3:].tolist(), window
 
 
 def _links(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[int]]:
@@ -174,31 +248,29 @@ def align(a: np.ndarray, b: np.ndarray, tokenizers: Tokenizers) -> tuple[int, in
     A pair is ``a << 32 | b``.
     """
     a_ends, b_ends = np.cumsum(tokenizers.a.sizes[a]), np.cumsum(tokenizers.b.sizes[b])
-    a_names, b_names = tokenizers.a.names, tokenizers.b.names
+    pair_name, irregular = tokenizers.pair_names.__getitem__, tokenizers.irregular
     digest, n_groups, n_links = hashlib.sha256(), 0, 0
     pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for found in groups(a_ends, b_ends):
-        (i0, _, j0, _), (_, i1, _, j1) = found[0], found[-1]
-        la, lb = a[i0:i1].tolist(), b[j0:j1].tolist()
-        names_a, names_b = [a_names[x] for x in la], [b_names[x] for x in lb]
-        ea, eb = a_ends[i0:i1].tolist(), b_ends[j0:j1].tolist()
-        parts, left, right = [], [], []
-        for i, i2, j, j2 in found:
-            i, i2, j, j2 = i - i0, i2 - i0, j - j0, j2 - j0
-            if ea[i] == eb[j]:
-                parts += [x + "|" + y for x, y in zip(names_a[i:i2], names_b[j:j2])]
-                left += la[i:i2]
-                right += lb[j:j2]
-            else:
-                parts.append(",".join(names_a[i:i2]) + "|" + ",".join(names_b[j:j2]))
-                at_a, at_b = _links(ea[i:i2], eb[j:j2])
-                left += [la[i + x] for x in at_a]
-                right += [lb[j + y] for y in at_b]
+        i, j, size, _, _ = found.T
+        at = np.repeat(i - np.cumsum(size) + size, size) + np.arange(size.sum())
+        linked = a[at] << 32 | b[at + np.repeat(j - i, size)]
+        names = list(map(pair_name, linked.tolist()))
+        (first, start), (last, stop) = found[0, :2], found[-1, 3:]
+        la, lb = a[first:last].tolist(), b[start:stop].tolist()
+        parts, more, done = [], [], 0
+        for i, j, n, p, q in (found - [first, start, 0, first, start]).tolist():
+            if n:
+                parts += names[done : done + n]
+                done += n
+            if p > i + n:
+                name, links = irregular[tuple(la[i + n : p]), tuple(lb[j + n : q])]
+                parts.append(name)
+                more += links
         digest.update((";" if n_groups else "").encode() + ";".join(parts).encode())
         n_groups += len(parts)
-        n_links += len(left)
-        linked = np.array(left, dtype=np.int64) << 32 | np.array(right, dtype=np.int64)
-        some, often = np.unique(linked, return_counts=True)
+        n_links += len(linked) + len(more)
+        some, often = np.unique(np.concatenate([linked, np.array(more, dtype=np.int64)]), return_counts=True)
         if len(pairs):
             both, at = np.unique(np.concatenate([pairs, some]), return_inverse=True)
             summed = np.zeros(len(both), np.int64)
@@ -257,7 +329,8 @@ def align_tokenizers(
     weights = store.keep(weights, "weights")
     linked = aligned.select("row", F.inline(F.arrays_zip("pairs", "times"))).toDF("row", "pair", "times")
     sums = (
-        linked.join(weights, "pair")
+        # Sorted on both sides at any size: the table of pairs has no proven bound.
+        linked.join(weights.hint("merge"), "pair")
         .groupBy("row")
         .agg(
             F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
