@@ -1,7 +1,10 @@
 """Load, check and report from the command line, for ``spark-submit`` or ``python -m``.
 
-    tierline load INPUT_DIR ROOT [--exact] [--escape CHAR] [--multi-line] [--enforce]
+    tierline load INPUT_DIR ROOT [--exact] [--strict] [--escape CHAR|both] [--multi-line]
+                  [--enforce] [--by-month] [--catalog PREFIX]
+    tierline append INPUT_DIR ROOT LOAD_ID [--escape CHAR|both] [--multi-line]
     tierline check ROOT {bronze,silver,gold} [--public-volumes] [--exact]
+    tierline account ROOT
     tierline report ROOT NAME
 """
 
@@ -25,9 +28,19 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("input_dir")
     load.add_argument("root")
     load.add_argument("--exact", action="store_true", help="also quarantine duplicates")
-    load.add_argument("--escape", default="\\", help="escape character inside quotes")
-    load.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
-    load.add_argument("--enforce", action="store_true", help="stop at broken constraints")
+    load.add_argument("--strict", action="store_true", help="also quarantine malformed records")
+    load.add_argument("--enforce", action="store_true", help="publish only if constraints hold")
+    load.add_argument("--by-month", action="store_true", help="store the fact in monthly folders")
+    load.add_argument("--catalog", metavar="PREFIX", help="name the tables in the catalog")
+    append = commands.add_parser("append", help="add CSV files to growing raw tables, once per id")
+    append.add_argument("input_dir")
+    append.add_argument("root")
+    append.add_argument("load_id")
+    for command in (load, append):
+        command.add_argument("--escape", default="\\", help="escape inside quotes, or 'both'")
+        command.add_argument("--multi-line", action="store_true", help="line breaks inside quotes")
+    account = commands.add_parser("account", help="what became of each file's line items")
+    account.add_argument("root")
     check = commands.add_parser("check", help="data-quality checks of one layer")
     check.add_argument("root")
     check.add_argument("layer", choices=["bronze", "silver", "gold"])
@@ -44,7 +57,7 @@ def check_layer(
 ) -> DataFrame:
     volumes = PUBLIC_DATA_ROWS if public_volumes else None
     if layer == "bronze":
-        return run_checks(layer, pipeline.read_raw(spark, root), raw_suite(volumes))
+        return run_checks(layer, pipeline.read_raw(spark, root), raw_suite(volumes, malformed=True))
     clean = pipeline.read_clean(spark, root)
     if layer == "silver":
         tables = {**clean, "raw_order_items": pipeline.read_raw(spark, root)["order_items"]}
@@ -67,20 +80,41 @@ def main(arguments: list[str] | None = None) -> int:
             exact=options.exact,
             escape=options.escape,
             multi_line=options.multi_line,
+            strict=options.strict,
             enforce=options.enforce,
+            fact_by_month=options.by_month,
+            catalog=options.catalog,
         )
         return 0
+    if options.command == "append":
+        with sized(spark, options.input_dir):
+            pipeline.append_raw(
+                spark,
+                options.input_dir,
+                options.root,
+                options.load_id,
+                escape=options.escape,
+                multi_line=options.multi_line,
+            )
+        return 0
     with sized(spark, options.root):
         return _answer(spark, options)
 
 
+def _print(report: DataFrame) -> None:
+    print("\t".join(report.columns))
+    for row in report.toLocalIterator():
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def _answer(spark: SparkSession, options: argparse.Namespace) -> int:
     if options.command == "report":
-        report = REPORTS[options.name](pipeline.read_star(spark, options.root))
-        print("\t".join(report.columns))
-        for row in report.toLocalIterator():
-            print("\t".join("" if value is None else str(value) for value in row))
+        _print(REPORTS[options.name](pipeline.read_star(spark, options.root)))
         return 0
+    if options.command == "account":
+        found = pipeline.accounting_by_file(spark, options.root).orderBy("source_file")
+        _print(found)
+        return int(not found.where("unaccounted_rows <> 0").isEmpty())
     results = check_layer(
         spark,
         options.root,

@@ -8,8 +8,11 @@ than any other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions import half_up_ratio, month_of
 from tierline.schemas import AMOUNT_SUM
@@ -54,6 +57,43 @@ def running_revenue(fact: DataFrame) -> DataFrame:
     ).orderBy("order_month")
 
 
+def running_total(
+    rows: DataFrame, by: str, value: str, keep: Callable[[DataFrame], DataFrame], name: str = "running_total"
+) -> DataFrame:
+    """``rows`` with the sum of ``value`` up to and including their ``by``, nulls of ``by`` first.
+
+    Rows of equal ``by`` get the same sum. No task sees more than its range: values are
+    summed per distinct key, the keys are dealt out by range and written (``keep`` writes
+    a frame and reads it back), each range is summed in order, and the totals of the
+    ranges before it, one number per range, are added. Every row then looks up its key;
+    adaptive execution splits a key that many rows share.
+    """
+    key = F.col(by).alias("_key")
+    totals = rows.groupBy(key).agg(F.sum(value).alias("_own"))
+    ranged = keep(totals.repartitionByRange("_key").withColumn("_range", F.spark_partition_id()))
+    kind = ranged.schema["_own"].dataType
+    before, offsets = None, []
+    # At most as many rows as shuffle partitions.
+    for r in ranged.groupBy("_range").agg(F.sum("_own").alias("total")).orderBy("_range").collect():
+        offsets.append((r["_range"], before))
+        before = r.total if before is None else before if r.total is None else before + r.total
+    spark = rows.sparkSession
+    schema = T.StructType([T.StructField("_range", T.IntegerType()), T.StructField("_before", kind)])
+    along = Window.partitionBy("_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+    within = ranged.withColumn("_so_far", F.sum("_own").over(along).cast(kind))
+    summed = within.join(spark.createDataFrame(offsets, schema), "_range").select(
+        "_key", F.coalesce(F.col("_so_far") + F.col("_before"), "_so_far", "_before").alias(name)
+    )
+    return rows.join(summed, rows[by].eqNullSafe(summed["_key"])).drop("_key")
+
+
+def running_revenue_by_order(fact: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Every order's revenue, and the revenue of all orders up to its purchase time."""
+    orders = fact.groupBy("order_id", "purchase_ts").agg(_money(F.sum("price")).alias("revenue"))
+    total = running_total(orders, "purchase_ts", "revenue", keep, "running_total_revenue")
+    return total.withColumn("running_total_revenue", _money(F.col("running_total_revenue")))
+
+
 def spend_segments(
     dim_customers: DataFrame, tiers: tuple[tuple[str, int], ...] = SPEND_TIERS
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from tierline.functions import matches, to_type
 from tierline.operators.cleaning import dedup_first, unique_keys
-from tierline.schemas import AMOUNT, CLEAN, conform
+from tierline.schemas import AMOUNT, CLEAN, IS_MALFORMED, SOURCE_FILE, conform
 
 REASON = "rejection_reason"
 REJECTED = "is_rejected"
@@ -24,6 +25,7 @@ ORDER_NOT_FOUND = "order_id not found in silver.orders"
 PRODUCT_NOT_FOUND = "product_id not found in silver.products"
 NOT_NUMERIC = "non-numeric price, freight_value, or order_item_id"
 DUPLICATE_ITEM = "duplicate (order_id, order_item_id)"
+MALFORMED_RECORD = "malformed record"
 DIGITS = r"^[0-9]+$"
 UNSIGNED_DECIMAL = r"^[0-9]+(\.[0-9]+)?$"
 
@@ -136,11 +138,20 @@ def _item_number() -> Column:
     return to_type("order_item_id", T.IntegerType())
 
 
-def classify_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def _lineage(df: DataFrame) -> list[str]:
+    """The column that names a row's file, where there is one."""
+    return [SOURCE_FILE] if SOURCE_FILE in df.columns else []
+
+
+def classify_order_items(
+    raw: DataFrame, orders: DataFrame, products: DataFrame, *, strict: bool = False
+) -> DataFrame:
     """Line items with the reason each is rejected for: order, product, numbers.
 
     Numbers must have the right shape and also fit their column, so no accepted
-    row ends up with a NULL key or amount.
+    row ends up with a NULL key or amount. The file a row came from is kept where
+    ``raw`` names it. With ``strict`` a record that the ingest marked as malformed is
+    rejected for that, whatever else is wrong with it.
     """
     numeric = (
         matches("order_item_id", DIGITS)
@@ -150,14 +161,19 @@ def classify_order_items(raw: DataFrame, orders: DataFrame, products: DataFrame)
         & to_type("price", AMOUNT).isNotNull()
         & to_type("freight_value", AMOUNT).isNotNull()
     )
-    return classify(
-        raw.select(*ITEM_COLUMNS, "shipping_limit_date"),
+    marks = [IS_MALFORMED] if strict else []
+    classified = classify(
+        raw.select(*ITEM_COLUMNS, "shipping_limit_date", *_lineage(raw), *marks),
         [
             Reference(orders, "order_id", ORDER_NOT_FOUND),
             Reference(products, "product_id", PRODUCT_NOT_FOUND),
         ],
         [Rule(numeric, NOT_NUMERIC)],
     )
+    if not strict:
+        return classified
+    reason = F.when(F.col(IS_MALFORMED), F.lit(MALFORMED_RECORD)).otherwise(F.col(REASON))
+    return classified.withColumn(REASON, reason).drop(IS_MALFORMED)
 
 
 def _typed_items(items: DataFrame) -> DataFrame:
@@ -197,8 +213,9 @@ def rank_accepted(classified: DataFrame) -> DataFrame:
     that :func:`first_items` and :func:`build_exact_quarantine` read the same outcome.
     """
     numbered = accepted(classified).withColumn("_item", _item_number())
-    ranked = mark_duplicates(numbered, ["order_id", "_item"], ["order_item_id", *ITEM_ORDER])
-    return ranked.select(*ITEM_COLUMNS, DUPLICATE)
+    order = ["order_item_id", *ITEM_ORDER, *_lineage(classified)]
+    ranked = mark_duplicates(numbered, ["order_id", "_item"], order)
+    return ranked.select(*ITEM_COLUMNS, *_lineage(classified), DUPLICATE)
 
 
 def first_items(ranked: DataFrame) -> DataFrame:
@@ -219,6 +236,34 @@ def build_exact_quarantine(classified: DataFrame, ranked: DataFrame | None = Non
     return build_quarantine(classified).unionByName(duplicates.select(*names))
 
 
+def reconcile_by_file(raw: DataFrame, classified: DataFrame, ranked: DataFrame) -> DataFrame:
+    """Per source file, what became of its rows; each counts once.
+
+    ``raw`` is the ingested table, ``classified`` and ``ranked`` the written results of
+    :func:`classify_order_items` and :func:`rank_accepted`. Each is read once and summed in
+    its map tasks, and only sums per file are shuffled. ``unaccounted_rows`` should be 0.
+    """
+    one = F.lit(1).cast("long")
+    nothing = F.lit(0).cast("long")
+
+    def part(df: DataFrame, **counts: Column) -> DataFrame:
+        names = ["raw_rows", "good_rows", "quarantined_rows", "duplicate_rows", "malformed_rows"]
+        shares = [F.when(counts[n], one).otherwise(nothing) if n in counts else nothing for n in names]
+        return df.select(F.col(SOURCE_FILE).alias("source_file"), *[s.alias(n) for s, n in zip(shares, names)])
+
+    malformed = F.col(REASON) == MALFORMED_RECORD
+    every = [
+        part(raw, raw_rows=F.lit(True)),
+        part(rejected(classified), quarantined_rows=~malformed, malformed_rows=malformed),
+        part(ranked, good_rows=~F.col(DUPLICATE), duplicate_rows=F.col(DUPLICATE)),
+    ]
+    names = every[0].columns[1:]
+    sums = [df.groupBy("source_file").agg(*[F.sum(n).alias(n) for n in names]) for df in every]
+    total = reduce(DataFrame.unionByName, sums).groupBy("source_file").agg(*[F.sum(n).alias(n) for n in names])
+    found = F.col("good_rows") + F.col("quarantined_rows") + F.col("duplicate_rows") + F.col("malformed_rows")
+    return total.withColumn("unaccounted_rows", F.col("raw_rows") - found)
+
+
 def reconcile(raw: DataFrame, good: DataFrame, quarantined: DataFrame) -> DataFrame:
     """One row: how many raw rows are accounted for, and how many are not."""
     parts = [("good_rows", good), ("quarantined_rows", quarantined), ("raw_rows", raw)]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.functions import month_of
 from tierline.operators import cleaning, quarantine, star
@@ -16,16 +18,25 @@ from tierline.plans.suites import constraint_checks
 from tierline.schemas import CLEAN, LINEAGE, RAW, RAW_FILES, STAR
 from tierline.session import MAX_PARTITIONS, sized, tune
 from tierline.sources import (
+    append_load,
     create_layers,
+    current_path,
+    drop_versions,
     ingest_raw,
     layer_path,
     malformed_lines,
+    new_version,
+    publish,
+    read_loads,
     read_table,
     register_table,
+    version_path,
     write_table,
 )
+from tierline.sources.versions import KEPT_VERSIONS
 
 RAW_LAYER, CLEAN_LAYER, STAR_LAYER, WORK_LAYER = "bronze", "silver", "gold", "work"
+APPENDED_LAYER = "appended"
 
 Tables = dict[str, DataFrame]
 
@@ -38,25 +49,29 @@ def _together(*steps: Callable[[], None]) -> None:
 
 
 def _read_layer(spark: SparkSession, root: str, layer: str, schemas: Mapping) -> Tables:
+    home = current_path(spark, root)
     return {
-        name: read_table(spark, layer_path(root, layer, name), schema)
+        name: read_table(spark, layer_path(home, layer, name), schema)
         for name, schema in schemas.items()
     }
 
 
-def read_raw(spark: SparkSession, root: str, *, lineage: bool = True) -> Tables:
-    """The raw tables, with or without their lineage columns."""
+def _raw_schemas(lineage: bool = True) -> dict[str, T.StructType]:
     extra = LINEAGE.fields if lineage else []
-    schemas = {name: type(s)([*s.fields, *extra]) for name, s in RAW.items()}
-    return _read_layer(spark, root, RAW_LAYER, schemas)
+    return {name: T.StructType([*s.fields, *extra]) for name, s in RAW.items()}
+
+
+def read_raw(spark: SparkSession, root: str, *, lineage: bool = True) -> Tables:
+    """The raw tables of the current version, with or without their lineage columns."""
+    return _read_layer(spark, root, RAW_LAYER, _raw_schemas(lineage))
 
 
 def read_clean(spark: SparkSession, root: str) -> Tables:
     return _read_layer(spark, root, CLEAN_LAYER, {n: t.schema for n, t in CLEAN.items()})
 
 
-def read_star(spark: SparkSession, root: str) -> Tables:
-    return _read_layer(spark, root, STAR_LAYER, {n: t.schema for n, t in STAR.items()})
+def read_star(spark: SparkSession, root: str, names: Sequence[str] = tuple(STAR)) -> Tables:
+    return _read_layer(spark, root, STAR_LAYER, {n: STAR[n].schema for n in names})
 
 
 def ingest_layer(
@@ -68,17 +83,61 @@ def ingest_layer(
     escape: str = "\\",
     multi_line: bool = False,
 ) -> Tables:
-    """Load the raw layer from the CSV files under ``input_dir``."""
+    """Load the raw layer from the CSV files under ``input_dir``.
+
+    Every row names its file, and whether its record had the right number of fields.
+    """
     base = input_dir.rstrip("/")
 
     def load(name: str) -> None:
         df = ingest_raw(
-            spark, f"{base}/{files[name]}", RAW[name], escape=escape, multi_line=multi_line
+            spark,
+            f"{base}/{files[name]}",
+            RAW[name],
+            escape=escape,
+            multi_line=multi_line,
+            mark_malformed=True,
         )
         write_table(df, layer_path(root, RAW_LAYER, name))
 
     _together(*[lambda name=name: load(name) for name in RAW])
-    return read_raw(spark, root)
+    return {n: read_table(spark, layer_path(root, RAW_LAYER, n), s) for n, s in _raw_schemas().items()}
+
+
+def append_raw(
+    spark: SparkSession,
+    input_dir: str,
+    root: str,
+    load_id: str,
+    *,
+    files: Mapping[str, str] = RAW_FILES,
+    tables: Sequence[str] = tuple(RAW),
+    escape: str = "\\",
+    multi_line: bool = False,
+) -> Tables:
+    """Add the CSV files under ``input_dir`` to the raw tables that grow load by load.
+
+    A load that is repeated replaces its own rows and no others. Returns all loads.
+    """
+    base = input_dir.rstrip("/")
+    for name in tables:
+        path = f"{base}/{files[name]}"
+        df = ingest_raw(
+            spark, path, RAW[name], escape=escape, multi_line=multi_line, mark_malformed=True
+        )
+        append_load(df, layer_path(root, APPENDED_LAYER, name), load_id)
+    return read_appended(spark, root, tables=tables)
+
+
+def read_appended(
+    spark: SparkSession, root: str, *, loads: Sequence[str] | None = None, tables: Sequence[str] = tuple(RAW)
+) -> Tables:
+    """The raw tables that grow load by load, with lineage and ``load_id``; all loads or some."""
+    schemas = _raw_schemas()
+    return {
+        name: read_loads(spark, layer_path(root, APPENDED_LAYER, name), schemas[name], loads)
+        for name in tables
+    }
 
 
 def count_malformed(
@@ -100,12 +159,14 @@ def count_malformed(
     return reduce(DataFrame.unionByName, counts)
 
 
-def build_clean(spark: SparkSession, raw: Tables, root: str, *, exact: bool = False) -> Tables:
+def build_clean(
+    spark: SparkSession, raw: Tables, root: str, *, exact: bool = False, strict: bool = False
+) -> Tables:
     """Load the clean layer from raw tables.
 
     Each table is written before the next one reads it, so no step is computed
     twice. The classified line items go to a work table, written once and read by
-    both halves of the split.
+    both halves of the split. ``strict`` quarantines malformed line items.
     """
     tune(spark)
     tables: Tables = {}
@@ -126,7 +187,7 @@ def build_clean(spark: SparkSession, raw: Tables, root: str, *, exact: bool = Fa
     _together(products, orders)
     work = layer_path(root, WORK_LAYER, "classified_order_items")
     classified = write_classified(
-        spark, raw["order_items"], tables["orders"], tables["products"], work
+        spark, raw["order_items"], tables["orders"], tables["products"], work, strict=strict
     )
     if exact:
         work = layer_path(root, WORK_LAYER, "ranked_order_items")
@@ -145,7 +206,7 @@ def build_clean(spark: SparkSession, raw: Tables, root: str, *, exact: bool = Fa
 
 def write_classified(
     spark: SparkSession, raw_items: DataFrame, orders: DataFrame, products: DataFrame, path: str,
-    *, slices: int = quarantine.SLICES,
+    *, slices: int = quarantine.SLICES, strict: bool = False,
 ) -> DataFrame:
     """Classify the line items into a table that the split reads back.
 
@@ -156,7 +217,7 @@ def write_classified(
     ranks of a hot key in exact mode; results do not depend on it.
     """
     classified = quarantine.with_slice(
-        quarantine.classify_order_items(raw_items, orders, products), slices
+        quarantine.classify_order_items(raw_items, orders, products, strict=strict), slices
     )
     outcome = F.col(quarantine.REASON).isNotNull().alias(quarantine.REJECTED)
     stored = classified.select("*", outcome)
@@ -209,15 +270,17 @@ def build_star(
 
 
 def register(spark: SparkSession, root: str, *, prefix: str = "") -> None:
-    """Name the loaded tables in the catalog, one database per layer.
+    """Name the current version's tables in the catalog, one database per layer.
 
-    Afterwards any SQL over ``bronze.*``, ``silver.*`` and ``gold.*`` runs as is.
+    Afterwards any SQL over ``bronze.*``, ``silver.*`` and ``gold.*`` runs as is. The names
+    stay with that version until the next call, or the next ``run`` with ``catalog``.
     """
+    home = current_path(spark, root)
     layers = {RAW_LAYER: RAW, CLEAN_LAYER: CLEAN, STAR_LAYER: STAR}
     create_layers(spark, [prefix + layer for layer in layers], root=f"{root.rstrip('/')}/catalog")
     for layer, names in layers.items():
         for name in names:
-            register_table(spark, prefix + layer, name, layer_path(root, layer, name))
+            register_table(spark, prefix + layer, name, layer_path(home, layer, name))
 
 
 def run(
@@ -229,30 +292,61 @@ def run(
     escape: str = "\\",
     multi_line: bool = False,
     exact: bool = False,
+    strict: bool = False,
     enforce: bool = False,
+    fact_by_month: bool = False,
+    catalog: str | None = None,
+    keep_versions: int = KEPT_VERSIONS,
     max_partitions: int = MAX_PARTITIONS,
 ) -> dict[str, Tables]:
     """Load all three layers under ``output_root``. Repeating a run replaces them.
 
-    ``exact`` also quarantines the duplicates that deduplication leaves out;
-    ``multi_line`` keeps line breaks inside quotes. With ``enforce`` a repeated key, a
-    missing required value or an orphan in the clean or star layer stops the load with an
-    ``AssertionError``, before the next layer is built. The caller's settings come back.
+    The tables are written beside the current ones and published as the last step, so
+    readers see the old version whole, or the new one; a load that stops changes nothing
+    for them. ``exact`` also quarantines the duplicates that deduplication leaves out,
+    ``strict`` malformed line items; ``multi_line`` keeps line breaks inside quotes. With
+    ``enforce`` a repeated key, a missing required value or an orphan in the clean or star
+    layer stops the load with an ``AssertionError``, before anything is published.
+    ``catalog`` names the published tables in the catalog, as ``register`` with that prefix.
+    The last ``keep_versions`` versions stay on disk. The caller's settings come back.
     """
+    version = new_version()
+    staged = version_path(output_root, version)
     with sized(spark, input_dir, max_partitions=max_partitions):
         raw = ingest_layer(
-            spark, input_dir, output_root, files=files, escape=escape, multi_line=multi_line
+            spark, input_dir, staged, files=files, escape=escape, multi_line=multi_line
         )
-        clean = build_clean(spark, raw, output_root, exact=exact)
+        clean = build_clean(spark, raw, staged, exact=exact, strict=strict)
         if enforce:
             assert_checks(run_checks(CLEAN_LAYER, clean, constraint_checks(CLEAN)))
-        gold = build_star(spark, clean, output_root)
+        gold = build_star(spark, clean, staged, fact_by_month=fact_by_month)
         if enforce:
             assert_checks(run_checks(STAR_LAYER, gold, constraint_checks(STAR)))
+    publish(spark, output_root, version)
+    if catalog is not None:
+        register(spark, output_root, prefix=catalog)
+    drop_versions(spark, output_root, keep_versions)
     return {"bronze": raw, "silver": clean, "gold": gold}
 
 
 def read_accepted(spark: SparkSession, root: str) -> DataFrame:
     """Keys of the accepted line items before dedup, from the load's work table."""
-    path = layer_path(root, WORK_LAYER, "classified_order_items")
+    path = layer_path(current_path(spark, root), WORK_LAYER, "classified_order_items")
     return quarantine.accepted_keys(read_table(spark, path))
+
+
+def accounting_by_file(spark: SparkSession, root: str) -> DataFrame:
+    """Per source file of the line items, what became of its rows in the current version.
+
+    A load with ``exact`` has ranked the accepted rows already; otherwise they are ranked here.
+    """
+    home = current_path(spark, root)
+    raw = read_raw(spark, root)["order_items"]
+    classified = read_table(spark, layer_path(home, WORK_LAYER, "classified_order_items"))
+    try:
+        ranked = read_table(spark, layer_path(home, WORK_LAYER, "ranked_order_items"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        ranked = quarantine.rank_accepted(classified)
+    return quarantine.reconcile_by_file(raw, classified, ranked)

@@ -21,7 +21,7 @@ from tierline.plans.checks import (
     RepeatCount,
     RowCheck,
 )
-from tierline.schemas import AMOUNT, CLEAN, STAR, Table
+from tierline.schemas import AMOUNT, CLEAN, IS_MALFORMED, STAR, Table
 
 # Row counts to expect from the public order data set the raw
 # layout was made for, and the text shapes the raw columns should have.
@@ -64,12 +64,14 @@ def raw_suite(
     *,
     blank_is_missing: bool = True,
     check_all_casts: bool = False,
+    malformed: bool = False,
 ) -> list[Check]:
     """Checks on the raw layer, before anything is cleaned.
 
     ``blank_is_missing`` extends the NULL checks to blank text, which is how the
     ingest spells an empty field. ``check_all_casts`` adds every other column that
-    is cast later.
+    is cast later, ``malformed`` counts records that had another number of fields, which
+    tables with lineage columns know.
     """
     expected_rows = expected_rows or {}
     lookup, products, customers = "product_category_translation", "products", "customers"
@@ -135,6 +137,11 @@ def raw_suite(
             ),
         ),
     ]
+    if malformed:
+        checks += [
+            RowCheck(table, "malformed records", F.col(IS_MALFORMED))
+            for table in (lookup, products, customers, orders, items)
+        ]
     if check_all_casts:
         checks += [
             RowCheck(products, f"{name} not castable", quality.loses_value({name: kind}))
@@ -177,6 +184,7 @@ def clean_suite(
     tolerance: float = 0.05,
     *,
     exact: bool = False,
+    strict: bool = False,
 ) -> list[Check]:
     """Checks on the clean layer: constraints, value ranges, reconciliation.
 
@@ -223,6 +231,8 @@ def clean_suite(
         quarantine.NOT_NUMERIC,
         quarantine.DUPLICATE_ITEM,
     ]
+    if strict:
+        reasons.append(quarantine.MALFORMED_RECORD)
     checks += [
         CountCheck(rejected, f"rows: {reason}", where=F.col(quarantine.REASON) == reason)
         for reason in reasons

@@ -47,7 +47,10 @@ class Table:
     foreign_keys: tuple[ForeignKey, ...] = ()
 
 
-LINEAGE = _struct(_ingested_at=T.TimestampType(), _source_file=_STRING)
+LINEAGE = _struct(
+    _ingested_at=T.TimestampType(), _source_file=_STRING, _is_malformed=T.BooleanType()
+)
+SOURCE_FILE, IS_MALFORMED = "_source_file", "_is_malformed"
 
 RAW: dict[str, T.StructType] = {
     "product_category_translation": _strings(

@@ -58,6 +58,8 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
         spark.conf.set(setting, before)
 
 
+SPLITS = "spark.sql.files.minPartitionNum"
+
 # Most shuffle partitions asked for; past about 25 TB the partitions grow instead.
 MAX_PARTITIONS = 100_000
 
@@ -106,9 +108,12 @@ def sized(
 
     Plans read the settings when they run, so run them inside.
     """
-    names = [*RUNTIME_SETTINGS, *sizing_for(0)]
+    names = [*RUNTIME_SETTINGS, *sizing_for(0), SPLITS]
     before = {name: spark.conf.get(name, None) for name in names}
     try:
+        # Files read twice must be split alike, also where executors come and go.
+        if before[SPLITS] is None:
+            spark.conf.set(SPLITS, str(spark.sparkContext.defaultParallelism))
         yield size_for(tune(spark), input_bytes(spark, *paths), max_partitions)
     finally:
         for name, value in before.items():

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -33,6 +34,34 @@ def write_table(
     df.sparkSession.catalog.refreshByPath(path)
 
 
+LOAD = "load_id"
+
+
+def append_load(df: DataFrame, path: str, load_id: str) -> None:
+    """Add the rows of one load to the table at ``path``.
+
+    The table has one folder per load. Repeating a load replaces its own folder and no
+    other, so rows are added once however often it runs; a load that stops adds nothing.
+    """
+    (
+        df.withColumn(LOAD, F.lit(load_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(LOAD)
+        .parquet(path)
+    )
+    df.sparkSession.catalog.refreshByPath(path)
+
+
+def read_loads(
+    spark: SparkSession, path: str, schema: T.StructType, loads: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of all loads, or of some, with the column ``load_id``. Only their folders are read."""
+    with_load = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
+    rows = spark.read.schema(with_load).parquet(path)
+    return rows if loads is None else rows.where(F.col(LOAD).isin(*loads))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Read a written table; a known schema saves the inference job."""
     reader = spark.read if schema is None else spark.read.schema(schema)

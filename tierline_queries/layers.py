@@ -7,6 +7,7 @@ which live in the shared checkpoint folder for as long as the session does.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,22 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
+def write_files(lines: DataFrame, folder: str) -> None:
+    """Text files of given names: ``lines`` holds ``file``, ``place`` in it and ``line``."""
+    spark, staged = lines.sparkSession, f"{folder}-staged"
+    ordered = lines.repartition("file").sortWithinPartitions("file", "place")
+    ordered.select("file", "line").write.mode("overwrite").partitionBy("file").text(staged)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, source = hadoop.Path(folder), hadoop.Path(staged)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    files.mkdirs(target)
+    for part in files.globStatus(hadoop.Path(f"{staged}/file=*/part-*")):
+        name = part.getPath().getParent().getName().removeprefix("file=")
+        files.rename(part.getPath(), hadoop.Path(target, name))
+    files.delete(source, True)
+
+
 class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = size_for(tune(spark), input_bytes(spark, sf_dir))
@@ -47,6 +64,12 @@ class Layers:
             known = self._tables[layer, name] = read_table(self.spark, path, schema)
         return known
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written to a work table of its own and read back."""
+        path = layer_path(self.root, "work", f"{name}-{uuid.uuid4().hex[:8]}")
+        write_table(df, path)
+        return read_table(self.spark, path, df.schema)
+
     def mapped(self, name: str) -> DataFrame:
         """The mapping itself, not yet written."""
         return raw_table(self.spark, self.sf_dir, name)

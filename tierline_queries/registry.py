@@ -2,26 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline_queries.layers import Layers, layers, write_csv
+from tierline_queries.layers import Layers, layers, write_csv, write_files
 from tierline.functions import month_of
 from tierline.operators import analysis, quality, quarantine, star
 from tierline.plans import clean_suite, raw_suite, run_checks, star_suite
 from tierline.plans.checks import CountCheck
+from tierline.plans.pipeline import read_star, write_classified, write_ranked
 from tierline.plans.reports import REPORTS
 from tierline.schemas import AMOUNT, RAW
 from tierline.sources import (
+    append_load,
     count_tables,
     create_layers,
     ingest_raw,
+    layer_path,
     list_layer,
     malformed_lines,
+    new_version,
+    publish,
+    publish_table,
+    read_loads,
     register_table,
+    version_path,
+    versions,
     write_table,
 )
 
@@ -69,6 +79,121 @@ def _malformed_lines(t: Layers) -> DataFrame:
     )
 
 
+def _quoted(c: Column, by: Column) -> Column:
+    """A field in quotes; quotes inside are doubled or follow a backslash, as ``by`` says."""
+    safe = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    escape = F.when(by, F.lit('""')).otherwise(F.lit('\\"'))
+    return F.concat(F.lit('"'), F.replace(safe, F.lit('"'), escape), F.lit('"'))
+
+
+def _both_escapes(t: Layers) -> DataFrame:
+    """Customers in files that mix both escapes, with line breaks, CRLF ends and a byte-order mark."""
+    names, number = RAW["customers"].names, F.col("customer_id").substr(-1, 1).cast("int")
+    city = F.concat(F.lit('"'), F.trim("customer_city"), F.lit('", \n\\'), "customer_state")
+    rows = t.raw("customers").withColumn("customer_city", city)
+    fields = [_quoted(F.col(n), number % 2 == 0) for n in names]
+    lines = rows.select(
+        F.concat(F.lit("customers_"), F.lpad((number % 3).cast("string"), 2, "0"), F.lit(".csv")).alias("file"),
+        F.lit(1).alias("place"),
+        F.concat(F.concat_ws(",", *fields), F.when(number > 4, F.lit("\r")).otherwise("")).alias("line"),
+    )
+    header = F.lit("\ufeff" + ",".join(names) + "\r")
+    headers = lines.select("file").distinct().select("file", F.lit(0).alias("place"), header.alias("line"))
+    path = f"{t.root}/csv/both_escapes"
+    write_files(lines.unionByName(headers), path)
+    back = ingest_raw(t.spark, path, RAW["customers"], escape="both", multi_line=True)
+    return back.select(*names, F.col("_source_file").alias("source_file"))
+
+
+def _items_by_file(t: Layers) -> DataFrame:
+    """Line items in five files, some with a field too many, ingested and accounted for."""
+    names, supplier = RAW["order_items"].names, F.expr("CAST(substr(seller_id, 2) AS BIGINT)")
+    lines = t.raw("order_items").select(
+        F.concat(F.lit("items_"), (supplier % 5).cast("string"), F.lit(".csv")).alias("file"),
+        F.lit(1).alias("place"),
+        F.concat(F.concat_ws(",", *names), F.when(supplier % 53 == 4, F.lit(",surplus")).otherwise("")).alias("line"),
+    )
+    header = F.lit(",".join(names)).alias("line")
+    headers = lines.select("file").distinct().select("file", F.lit(0).alias("place"), header)
+    path = f"{t.root}/csv/items_by_file"
+    write_files(lines.unionByName(headers), path)
+    raw = t.keep(ingest_raw(t.spark, path, RAW["order_items"], mark_malformed=True), "items_by_file")
+    classified = write_classified(
+        t.spark,
+        raw,
+        t.clean("orders"),
+        t.clean("products"),
+        f"{t.root}/work/classified_by_file",
+        strict=True,
+    )
+    ranked = write_ranked(t.spark, classified, f"{t.root}/work/ranked_by_file")
+    return quarantine.reconcile_by_file(raw, classified, ranked)
+
+
+def _append_by_load(t: Layers) -> DataFrame:
+    """Orders appended in two loads; the second stops after a third of its rows and is repeated twice."""
+    orders, path = t.raw("orders"), f"{t.root}/appended/orders"
+    even = F.col("order_id").substr(-1, 1).cast("int") % 2 == 0
+    append_load(orders.filter(even), path, "even")
+    append_load(orders.filter(~even & (F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0)), path, "odd")
+    for _ in range(2):
+        append_load(orders.filter(~even), path, "odd")
+    return (
+        read_loads(t.spark, path, RAW["orders"])
+        .groupBy("load_id")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("order_id").alias("n_orders"),
+            F.min("order_id").alias("first_order"),
+            F.max("order_id").alias("last_order"),
+        )
+    )
+
+
+def _versioned_reload(t: Layers) -> DataFrame:
+    """The fact published in part, published whole, then begun once more but not published."""
+    root, fact = f"{t.root}/versions-{uuid.uuid4().hex[:8]}", t.star("fact_order_items")
+    for rows, last in ((fact.filter("order_item_id = 1"), True), (fact, True), (fact.filter("price < 0"), False)):
+        version = new_version()
+        write_table(rows, layer_path(version_path(root, version), "gold", "fact_order_items"))
+        if last:
+            publish(t.spark, root, version)
+    current = read_star(t.spark, root, ["fact_order_items"])["fact_order_items"]
+    return (
+        current.groupBy("order_status")
+        .agg(F.count(F.lit(1)).alias("fact_rows"), F.sum("price").cast("decimal(20,2)").alias("total_revenue"))
+        .crossJoin(versions(t.spark, root).agg(F.count(F.lit(1)).alias("n_versions")))
+    )
+
+
+def _published_layer(t: Layers) -> DataFrame:
+    """Publish the star tables as managed tables of a dropped and created layer, twice; list it."""
+    layer = "published_" + t.root.rsplit("-", 1)[-1]
+    for _ in range(2):
+        create_layers(t.spark, [layer], root=f"{t.root}/catalog", drop_existing=True)
+        for name, df in t.all_star().items():
+            publish_table(df, layer, name)
+    return list_layer(t.spark, layer)
+
+
+def _top_categories_wide(t: Layers) -> DataFrame:
+    """Top categories where there are more than ten: each is told apart by length."""
+    tens = F.floor(F.col("length_cm") / 10).cast("string")
+    products = t.star("dim_products").withColumn(
+        "category_english", F.concat("category_english", F.lit(" "), tens)
+    )
+    return analysis.top_categories(t.star("fact_order_items"), products)
+
+
+def _negative_measures(t: Layers) -> DataFrame:
+    """Products whose measures are taken down until some are negative."""
+    lower = {"weight_g": 2500, "length_cm": 25, "height_cm": 40, "width_cm": 0}
+    products = t.clean("products").select(
+        "product_id", *[(F.col(n) - by).cast(AMOUNT).alias(n) for n, by in lower.items()]
+    )
+    return quality.negative_rows(products, list(lower))
+
+
 def _report(name: str) -> Callable[[Layers], DataFrame]:
     return lambda t: REPORTS[name](t.all_star())
 
@@ -108,7 +233,12 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "csv_ingest_products": lambda t: _csv_round_trip(t, "products"),
     "csv_ingest_categories": lambda t: _csv_round_trip(t, "product_category_translation"),
     "csv_ingest_line_breaks": _csv_line_breaks,
+    "csv_ingest_both_escapes": _both_escapes,
     "dq_malformed_lines": _malformed_lines,
+    "dq_reconciliation_by_file": _items_by_file,
+    "append_by_load": _append_by_load,
+    "versioned_reload": _versioned_reload,
+    "published_layer": _published_layer,
     "clean_categories": lambda t: t.build_clean("categories"),
     "clean_products": lambda t: t.build_clean("products"),
     "clean_customers": lambda t: t.build_clean("customers"),
@@ -116,6 +246,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "accepted_items": lambda t: t.build_clean("order_items"),
     "quarantined_items": lambda t: quarantine.build_quarantine(t.classify_live()),
     "quarantine_exact": lambda t: t.exact_quarantine(),
+    "ranked_items": lambda t: quarantine.rank_accepted(t.classified()),
     "dim_products": lambda t: t.build_star("dim_products"),
     "dim_customers": lambda t: star.build_dim_customers(
         t.clean("customers"), t.clean("orders"), t.clean("order_items")
@@ -126,6 +257,10 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     **{name: _report(name) for name in REPORTS},
     "table_listing": _table_listing,
     "registered_fact_by_month": _registered_fact_by_month,
+    "running_revenue_by_order": lambda t: analysis.running_revenue_by_order(
+        t.star("fact_order_items"), lambda df: t.keep(df, "revenue_ranges")
+    ),
+    "top_categories_wide": _top_categories_wide,
     "spend_segments": lambda t: analysis.spend_segments(
         t.star("dim_customers"), (("High Value", 1_500_000), ("Mid Value", 900_000))
     ),
@@ -154,6 +289,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
         {"price": quarantine.UNSIGNED_DECIMAL, "freight_value": quarantine.UNSIGNED_DECIMAL},
     ),
     "dq_negative": lambda t: quality.negative_rows(t.clean("orders"), ["delivery_days"]),
+    "dq_negative_measures": _negative_measures,
     "dq_domain": lambda t: quality.distinct_values(t.raw("orders"), "order_status"),
     "dq_length": lambda t: quality.length_violations(t.clean("customers"), "state", 2),
     "dq_implication": lambda t: quality.implication_violations(
