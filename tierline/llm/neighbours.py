@@ -214,7 +214,8 @@ def build_index(vectors: DataFrame, store, shard_rows: int = SHARD_ROWS) -> Data
     names = [f.strip().split()[0] for f in INDEX_SCHEMA.split(",")]
     kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     arrow = pa.schema([(n, kinds[f.strip().split()[1]]) for n, f in zip(names, INDEX_SCHEMA.split(","))])
-    return store.keep(dealt.groupBy("shard").applyInArrow(build, INDEX_SCHEMA), "index")
+    built = dealt.groupBy("shard").applyInArrow(build, INDEX_SCHEMA)
+    return store.keep(built.withColumn("shards", F.lit(shards)), "index")
 
 
 def search(
@@ -228,8 +229,13 @@ def search(
         .groupBy("size", "block")
         .agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("v")).alias("flat"))
     )
-    shards = index.select("shard", "size")
-    pairs = packed.join(shards, "size").select("shard", "ids", "flat")
+    # Each block names the shards it visits, so that pairs are dealt by shard, not by length.
+    known = index.select("shards").first()
+    shards = known.shards if known else 1
+    visits = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("at")
+    pairs = packed.select("size", "ids", "flat", visits).select(
+        (F.col("size").cast("long") * shards + F.col("at")).alias("shard"), "ids", "flat"
+    )
     opened: dict = {}
 
     def row(state: dict, *values) -> Iterator[tuple]:
