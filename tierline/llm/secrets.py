@@ -42,7 +42,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 KINDS = ["assign", "access", "hex", "random"]
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+# Parameter: tokens of this length or more are tested; shorter ones are too short for the tests.
+MIN_TOKEN = 20
+TOKEN = re.compile(rf"[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}={{0,2}}")
 FDR = 0.01
 LENGTHS = [24, 32, 48, 80]  # strata end before these; the last is open
 BINS_PER_DECADE, MOST_BINS = 20, 600
@@ -87,9 +89,17 @@ def _normal_tail(z: float) -> float:
 
 
 def _chi2_tail(x: float, df: int) -> float:
-    """Wilson and Hilferty's approximation."""
-    z = ((x / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
-    return 0.5 * math.erfc(z / math.sqrt(2))
+    """P(X >= x), by the finite sum that holds for whole degrees of freedom."""
+    half = x / 2
+    if half <= 0:
+        return 1.0
+    odd = df % 2
+    total = math.erfc(math.sqrt(half)) if odd else math.exp(-half)
+    at = 0.5 if odd else 1.0
+    while at < df / 2:
+        total += math.exp(at * math.log(half) - half - math.lgamma(at + 1))
+        at += 1
+    return min(1.0, total)
 
 
 def uniformity(token: str, alphabet: str) -> float:
@@ -109,15 +119,23 @@ def uniformity(token: str, alphabet: str) -> float:
 
 
 def runs(token: str, alphabet: str) -> float:
-    """Changes of kind between neighbours against their number under uniformity."""
-    sizes = Counter(map(_kind, alphabet))
-    change = 1 - sum((s / len(alphabet)) ** 2 for s in sizes.values())
+    """Changes of kind between neighbours against their number under uniformity.
+
+    Two changes in a row share a character, so they are not independent where the kinds
+    are not equally likely; their covariance is part of the variance.
+    """
+    shares = [s / len(alphabet) for s in Counter(map(_kind, alphabet)).values()]
+    change = 1 - sum(p * p for p in shares)
     if change == 0:
         return 1.0
     kinds = list(map(_kind, token))
     n = len(kinds) - 1
     changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
-    return _normal_tail((changes - n * change) / math.sqrt(n * change * (1 - change)))
+    both = sum(p * (1 - p) ** 2 for p in shares) - change**2
+    variance = n * change * (1 - change) + 2 * (n - 1) * both
+    # A count has no value between two whole numbers: half a step counts for neither side.
+    gap = max(0.0, abs(changes - n * change) - 0.5)
+    return _normal_tail(gap / math.sqrt(variance))
 
 
 def serial_correlation(token: str, alphabet: str) -> float:
@@ -143,14 +161,19 @@ def randomness(token: str) -> float | None:
 def candidates(text: str, base: list[Span]) -> list[tuple[int, int, int, int]]:
     """start, end, length stratum and p-value bin of tokens outside the base spans."""
     found = []
+    # Tokens come in order, so base spans that end before one are done with.
+    at, reach = 0, 0
     for m in TOKEN.finditer(text):
         a, b = m.span()
-        if any(s < b and a < e for s, _, e in base):
+        while at < len(base) and base[at][0] < b:
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach > a:
             continue
         p = randomness(m.group())
         if p is not None:
-            at = MOST_BINS if p <= 0 else min(MOST_BINS, int(-math.log10(p) * BINS_PER_DECADE))
-            found.append((a, b, sum(b - a >= x for x in LENGTHS), at))
+            bin_ = MOST_BINS if p <= 0 else min(MOST_BINS, int(-math.log10(p) * BINS_PER_DECADE))
+            found.append((a, b, sum(b - a >= x for x in LENGTHS), bin_))
     return found
 
 
