@@ -5,8 +5,8 @@ A page is parsed into a tree; parts that are no article by their tag, role or cl
 or id is only a hint: a part that holds the page's article or most of its text stays. For
 every remaining node the composite density sets characters against tags, adjusted for
 how much of both sits in links. The sum of its children's densities marks the node that
-holds most dense children. An enclosing article or main element is taken whole. Without
-one, the lowest density on the path from that node up to the body is the threshold:
+holds most dense children. Of an enclosing article or main element everything is taken
+but lists of links that are less dense than the path to that node. Without one, the lowest density on the path from that node up to the body is the threshold:
 every part of the body reached through nodes at or above it belongs to the text, so an
 article in several sections is not cut down to its densest one.
 
@@ -38,6 +38,7 @@ HINT_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # HTML's own classes of elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+FOREIGN = {"svg", "math"}
 RAW = set("script style textarea title xmp noembed noframes iframe".split())
 BLOCK = set(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt "
@@ -79,6 +80,9 @@ BESIDE_HINTS = set(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored comment comments "
     "disqus respond reply replies related recommended".split()
 )
+# Elements that may be a list of links, and from how many links on.
+LISTS = set("ul ol dl div section p table menu".split())
+LIST_LINKS = 3
 KEPT_TAGS = {"html", "body", "article", "main"}
 
 
@@ -202,7 +206,8 @@ def parse(page: str) -> Node:
             elif end is not None:
                 node.items.append(page[at : end.start()])
                 at = end.end()
-        elif tag not in VOID and not attributes.endswith("/"):
+        elif tag not in VOID and not (attributes.endswith("/") and any(n.tag in FOREIGN for n in stack)):
+            # A slash closes an element only inside drawings and formulas.
             stack.append(node)
     if at < len(page):
         stack[-1].items.append(page[at:])
@@ -258,6 +263,19 @@ def _write(node: Node, out: list[str]) -> None:
             out.append(" ")
 
 
+def cut_link_lists(article: Node, path: list[Node]) -> None:
+    """Cut parts of an article that are lists of links by their density.
+
+    These hold several links and little else, and are less dense than every node on the
+    path from the densest part up to the article; short plain paragraphs stay.
+    """
+    threshold = min(n.density for n in path[: path.index(article) + 1])
+    for node in _in_order(article)[1:]:
+        linked = node.link_tags >= LIST_LINKS and 5 * node.link_chars >= 4 * node.chars
+        if linked and node.density < threshold and node.tag in LISTS and node not in path:
+            node.cut = True
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
@@ -280,6 +298,7 @@ def main_text(page: str | None) -> str:
     whole = [n for n in path if n.tag in ("article", "main")]
     out: list[str] = []
     if whole:
+        cut_link_lists(whole[-1], path)
         _write(whole[-1], out)
     else:
         body = next((n for n in path if n.tag == "body"), root)
