@@ -1,9 +1,11 @@
 """Text operators against brute force on small inputs, with nulls, ties and odd rows."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -193,6 +195,8 @@ def test_mixing_odd_inputs(docs, empty, labels, store):
         ("<body><div class='sidebar'>x y z</div><main><p>one two<script>var a='<p>';</script> three</p></main>", "one two three"),
         ("<div id=content><section><p>aaa bbb ccc ddd</p><p>eee fff</p></section><section><p>ggg hhh iii</p></section></div>", "aaa bbb ccc ddd eee fff ggg hhh iii"),
         ("<article><p>good text</p><div class='comments'><p>me too</p></div><form>x</form></article", "good text"),
+        ("<article><p>one two three four five six seven</p><p>Hi.</p><ul><li><a href=1>first link</a><li><a href=2>second</a><li><a href=3>third one</a></ul><p>end of it all, with <a href=4>a link</a></p></article>", "one two three four five six seven Hi. end of it all, with a link"),
+        ("<article><p>one <a href=x/>two</a> three</p><div class=a/>four</div><svg><path d='1'/></svg> five</article>", "one two three four five"),
         ("<!-- a > b --><article>x &lt;b&gt; y&nbsp;z</article>", "x <b> y z"),
     ],
 )
@@ -256,11 +260,63 @@ def test_secrets_base_and_added(docs, empty, store, spark):
     assert secrets.find_secrets(empty, store).count() == 0
 
 
-def test_randomness_level():
+@pytest.mark.parametrize("length", [20, 32, 64])
+def test_randomness_level(length):
     r = random.Random(8)
     for letters in secrets.ENCODINGS.values():
-        p = [secrets.randomness("".join(r.choice(letters) for _ in range(40))) for _ in range(400)]
-        assert sum(x < 0.01 for x in p if x is not None) < 20
+        p = [secrets.randomness("".join(r.choice(letters) for _ in range(length))) for _ in range(1500)]
+        assert sum(x < 0.01 for x in p if x is not None) <= 24
+
+
+def test_tail_probabilities():
+    # Reference values: tables of the chi-squared distribution.
+    for x, df, p in ((3.841, 1, 0.05), (5.991, 2, 0.05), (11.345, 3, 0.01), (30.578, 15, 0.01), (82.529, 63, 0.05)):
+        assert secrets._chi2_tail(x, df) == pytest.approx(p, rel=2e-3)
+    # Changes of kind: mean and variance against all words of a small alphabet.
+    kinds = "aaB"
+    found = [sum(x != y for x, y in zip(w, w[1:])) for w in itertools.product(kinds, repeat=7)]
+    mean, spread = np.mean(found), np.var(found)
+    change = 1 - (4 + 1) / 9
+    both = (2 / 3) * (1 / 3) ** 2 + (1 / 3) * (2 / 3) ** 2 - change**2
+    assert mean == pytest.approx(6 * change) and spread == pytest.approx(6 * change * (1 - change) + 10 * both)
+
+
+def test_random_tokens_are_found_and_ordinary_ones_left(spark, store):
+    r = random.Random(14)
+    texts, planted = [], []
+    for k in range(60):
+        letters = r.choice(list(secrets.ENCODINGS.values())[2:])
+        key = "".join(r.choices(letters, k=r.choice([32, 44, 64])))
+        names = "_".join(r.choices(["get", "user", "name", "list", "value", "table", "index"], k=7))
+        texts.append(f"see {names} and src/main/java/org/example/service/impl here {key}")
+        planted.append((texts[-1].index(key), texts[-1].index(key) + len(key)))
+    df = spark.createDataFrame(rows_of(texts), SCHEMA)
+    got = {x.doc_id: x.spans.split(",") for x in secrets.find_secrets(df, store).collect()}
+    hits = sum(f"random:{a}:{b}" in got[k] for k, (a, b) in enumerate(planted))
+    others = sum(s.startswith("random") for spans in got.values() for s in spans) - hits
+    assert hits >= 57 and others == 0
+
+
+def test_scan_takes_linear_time():
+    def seconds(n):
+        text = " ".join(f"password = abcdefghij{i}klmn tok_en{i}abcdefghijklmnop" for i in range(n))
+        started = time.perf_counter()
+        base = secrets.base_spans(text)
+        found = secrets.candidates(text, base)
+        assert len(base) == len(found) == n
+        return time.perf_counter() - started
+
+    seconds(500)
+    assert seconds(8000) < 30 * max(seconds(1000), 0.01)
+
+
+def test_tokens_beside_and_inside_base_spans():
+    text = "token=" + "a" * 30 + " " + "q" * 25 + " deadbeef" * 3 + "0" * 20 + "x" + "c" * 10 + " AKIA" + "Z" * 30
+    base = secrets.base_spans(text)
+    spans = [(a, b) for a, b, _, _ in secrets.candidates(text, base)]
+    tokens = [m.span() for m in secrets.TOKEN.finditer(text)]
+    assert spans == [t for t in tokens if not any(s < t[1] and t[0] < e for s, _, e in base)]
+    assert spans and spans != tokens
 
 
 def slow_counts(text):
