@@ -1,7 +1,7 @@
 """Load, check and report from the command line, for ``spark-submit`` or ``python -m``.
 
     tierline load INPUT_DIR ROOT [--exact] [--strict] [--escape CHAR|both] [--multi-line]
-                  [--enforce] [--by-month] [--catalog PREFIX]
+                  [--enforce] [--by-month] [--collation NAME] [--catalog PREFIX]
     tierline append INPUT_DIR ROOT LOAD_ID [--escape CHAR|both] [--multi-line]
     tierline check ROOT {bronze,silver,gold} [--public-volumes] [--exact]
     tierline account ROOT
@@ -31,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--strict", action="store_true", help="also quarantine malformed records")
     load.add_argument("--enforce", action="store_true", help="publish only if constraints hold")
     load.add_argument("--by-month", action="store_true", help="store the fact in monthly folders")
+    load.add_argument("--collation", help="compare keys by it, such as UNICODE_CI_AI")
     load.add_argument("--catalog", metavar="PREFIX", help="name the tables in the catalog")
     append = commands.add_parser("append", help="add CSV files to growing raw tables, once per id")
     append.add_argument("input_dir")
@@ -83,6 +84,7 @@ def main(arguments: list[str] | None = None) -> int:
             strict=options.strict,
             enforce=options.enforce,
             fact_by_month=options.by_month,
+            collation=options.collation,
             catalog=options.catalog,
         )
         return 0

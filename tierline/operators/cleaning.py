@@ -9,23 +9,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import is_present, to_type, to_whole_number
-from tierline.schemas import AMOUNT, CLEAN, conform
+from tierline.schemas import AMOUNT, BINARY, CLEAN, collated_columns, conform
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
     """One row per key: the first in ``order_by`` (ascending, NULLs first).
 
     Name every payload column in ``order_by`` and the survivor does not depend on
-    row order. Spark cuts each key to one row per map task before the shuffle
+    row order; values that a collation holds equal are told apart by their bytes. Spark cuts each key to one row per map task before the shuffle
     (WindowGroupLimit), so a key that holds a third of the rows ships one row per
     task.
     """
-    ranked = Window.partitionBy(*keys).orderBy(*(order_by or keys))
+    ranked = Window.partitionBy(*keys).orderBy(*(order_by or keys), *exact_order(df))
     return (
         df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
     )
 
 
+def exact_order(df: DataFrame) -> list[Column]:
+    """The bytes of collated columns, for the end of an order; nothing where there are none."""
+    return [F.collate(name, BINARY) for name in collated_columns(df)]
+
+
 def unique_keys(df: DataFrame, column: str, alias: str) -> DataFrame:
     """The distinct values of a key, for the lookup side of a join.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import matches, to_type
-from tierline.operators.cleaning import dedup_first, unique_keys
+from tierline.operators.cleaning import dedup_first, exact_order, unique_keys
 from tierline.schemas import AMOUNT, CLEAN, IS_MALFORMED, SOURCE_FILE, conform
 
 REASON = "rejection_reason"
@@ -117,6 +117,7 @@ def mark_duplicates(
     task. Rows are ranked inside their slice of the key first; only slice winners,
     at most one per slice, meet in the second ranking, and the others stay spread.
     """
+    order_by = [*order_by, *exact_order(df)]
     inside = Window.partitionBy(*keys, slice_col).orderBy(*order_by)
     local = df.withColumn("_local", F.row_number().over(inside))
     # Winners share group -1 of their key; each loser stays in its own slice.

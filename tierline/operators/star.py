@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import half_up_ratio
-from tierline.schemas import STAR, conform
+from tierline.schemas import BINARY, STAR, collated_columns, conform
 
 
 def build_dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
@@ -50,21 +50,34 @@ def people_from_profiles(profiles: DataFrame, items: DataFrame) -> DataFrame:
         F.sum(line).alias("spent"), F.count(line).alias("lines")
     )
     spent, lines = F.sum("spent"), F.sum("lines")
+    person = "customer_unique_id"
+    # Under a collation one person may be spelled in several ways; the least one is stored.
+    spelled = [F.min(F.collate(person, BINARY)).alias("_spelled")] if person in collated_columns(profiles) else []
     people = (
-        profiles.select("order_id", "customer_unique_id", "city", "state")
+        profiles.select("order_id", person, "city", "state")
         .join(per_order, "order_id")
-        .groupBy("customer_unique_id")
+        .groupBy(person)
         .agg(
-            F.max("city").alias("city"),
-            F.max("state").alias("state"),
+            *[_greatest(profiles, name) for name in ("city", "state")],
+            *spelled,
             F.count("order_id").alias("total_orders"),
             spent.alias("total_spent"),
             half_up_ratio(spent, lines, 2).alias("avg_order_value"),
         )
     )
+    if spelled:
+        people = people.withColumn(person, F.col("_spelled"))
     return conform(people, STAR["dim_customers"].schema)
 
 
+def _greatest(df: DataFrame, name: str) -> Column:
+    """The greatest text; of those a collation holds equal, the one of the greatest bytes."""
+    if name not in collated_columns(df):
+        return F.max(name).alias(name)
+    exact = F.struct(F.col(name).alias("text"), F.collate(name, BINARY).alias("exact"))
+    return F.max(F.when(F.col(name).isNotNull(), exact))["exact"].alias(name)
+
+
 def fact_from_profiles(items: DataFrame, profiles: DataFrame) -> DataFrame:
     """One row per line item with its order's and its person's attributes."""
     placed = profiles.drop("city", "state")

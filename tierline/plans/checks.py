@@ -142,7 +142,7 @@ def _result(
     )
 
 
-class _Measures:
+class Measures:
     """The numbers that checks compare, each computed once however many checks use it.
 
     All numbers from the rows of one table come from one scan. Numbers from the keys of
@@ -170,7 +170,7 @@ class _Measures:
 
     def of(self, name: str, df: DataFrame, value: Column) -> Column:
         """An aggregate over a frame of its own."""
-        self._frames[name] = df.agg(_entry(name, value))
+        self._frames[name] = df.agg(entry(name, value))
         return self._number(name)
 
     def per_key(self, table: str, keys: Sequence[str]) -> DataFrame:
@@ -182,64 +182,83 @@ class _Measures:
         pairs = self.tables[table].groupBy(*wider).agg(count)
         return pairs.groupBy(*keys).agg(F.sum("_rows").alias("_rows"))
 
+    def label(self, check: Check, at: int) -> str:
+        """What the numbers of a check are called inside one run."""
+        return str(at)
+
+    def parent(self, check: OrphanCheck) -> tuple[DataFrame, bool]:
+        """Where a reference leads, and whether each key occurs there once."""
+        return self.tables[check.parent], check.unique_parent
+
+    def values(self, table: str, column: str) -> DataFrame:
+        return self.tables[table].select(column).distinct()
+
     def _number(self, name: str) -> Column:
         return F.col("_numbers")[name]
 
     def all(self) -> DataFrame:
         """One row with every number asked for so far."""
-        found = [
+        entries = reduce(DataFrame.unionByName, [*self.scanned(), *self.framed()])
+        return entries.agg(F.map_from_entries(F.collect_list("_entry")).alias("_numbers"))
+
+    def scanned(self) -> list[DataFrame]:
+        """The numbers from the rows of each table."""
+        return [
             self.tables[table]
             .agg(*[value.alias(f"_m{i}") for i, value in enumerate(values.values())])
             .select(
                 F.explode(
-                    F.array(*[_entry(f"{table}/{n}", F.col(f"_m{i}")) for i, n in enumerate(values)])
+                    F.array(*[entry(f"{table}/{n}", F.col(f"_m{i}")) for i, n in enumerate(values)])
                 ).alias("_entry")
             )
             for table, values in self._scans.items()
         ]
-        found += [frame.toDF("_entry") for frame in self._frames.values()]
-        entries = reduce(DataFrame.unionByName, found)
-        return entries.agg(F.map_from_entries(F.collect_list("_entry")).alias("_numbers"))
+
+    def framed(self) -> list[DataFrame]:
+        """The numbers from frames of their own."""
+        return [frame.toDF("_entry") for frame in self._frames.values()]
 
 
-def _entry(name: str, value: Column) -> Column:
+def entry(name: str, value: Column) -> Column:
     return F.struct(F.lit(name).alias("name"), value.cast("long").alias("n"))
 
 
-def _orphan_rows(m: _Measures, check: OrphanCheck) -> Column:
+def _orphan_rows(m: Measures, check: OrphanCheck) -> Column:
     """Rows are counted per key before the join, so a hot key is joined once."""
+    parent, unique = m.parent(check)
     lost = orphans(
         m.per_key(check.table, [check.on]),
-        m.tables[check.parent],
+        parent,
         check.on,
         parent_key=check.parent_key,
         ignore_null=check.ignore_null,
-        unique_parent=check.unique_parent,
+        unique_parent=unique,
     )
     total = F.count(F.lit(1)) if check.distinct else F.coalesce(F.sum("_rows"), _long(0))
     name = f"{check.table}.{check.on} not in {check.parent}.{check.parent_key}"
     return m.of(f"{name} {check.ignore_null} {check.distinct}", lost, total)
 
 
-def _repeats(m: _Measures, table: str, keys: Sequence[str]) -> Column:
+def _repeats(m: Measures, table: str, keys: Sequence[str]) -> Column:
     """Rows after the first of their key."""
     surplus = F.coalesce(F.sum(F.col("_rows") - 1), _long(0))
     return m.of(f"repeats {table} {keys}", m.per_key(table, keys), surplus)
 
 
-def _evaluate(m: _Measures, check: Check, at: int) -> Column:
+def result_of(m: Measures, check: Check, at: int) -> Column:
     """The result of one check as a struct over the numbers it asks ``m`` for."""
+    label = m.label(check, at)
     if isinstance(check, RowCheck):
-        return _result(check, m.scan(check.table, str(at), F.count_if(check.violates)), _long(0))
+        return _result(check, m.scan(check.table, label, F.count_if(check.violates)), _long(0))
     if isinstance(check, CountCheck):
         if check.where is None:
             seen = m.rows(check.table)
         else:
-            seen = m.scan(check.table, str(at), F.count_if(check.where))
+            seen = m.scan(check.table, label, F.count_if(check.where))
         return _result(check, seen, _long(check.expected), check.tolerance)
     if isinstance(check, PairCheck):
         left, right = (
-            m.scan(check.table, f"{at} {side}", F.count_if(condition))
+            m.scan(check.table, f"{label} {side}", F.count_if(condition))
             for side, condition in (("left", check.left), ("right", check.right))
         )
         return _result(check, left, right)
@@ -250,11 +269,11 @@ def _evaluate(m: _Measures, check: Check, at: int) -> Column:
     if isinstance(check, OrphanCheck):
         return _result(check, _orphan_rows(m, check), _long(0))
     if isinstance(check, DomainCheck):
-        values = m.tables[check.table].select(check.column).distinct()
+        values = m.values(check.table, check.column)
         if check.allowed is None:
-            return _result(check, m.of(f"domain {at}", values, F.count(F.lit(1))), _long(None))
+            return _result(check, m.of(f"domain {label}", values, F.count(F.lit(1))), _long(None))
         known = F.coalesce(F.col(check.column).isin(*check.allowed), F.lit(False))
-        return _result(check, m.of(f"domain {at}", values, F.count_if(~known)), _long(0))
+        return _result(check, m.of(f"domain {label}", values, F.count_if(~known)), _long(0))
     if isinstance(check, RepeatCount):
         return _result(check, _repeats(m, check.source, check.keys), _long(None))
     parts = [m.rows(part) for part in check.parts]
@@ -271,8 +290,11 @@ def run_checks(layer: str, tables: Mapping[str, DataFrame], checks: Sequence[Che
     """
     if not checks:
         return SparkSession.active().createDataFrame([], RESULT)
-    measures = _Measures(tables, checks)
-    results = [_evaluate(measures, check, at) for at, check in enumerate(checks)]
+    return evaluate(layer, Measures(tables, checks), checks)
+
+
+def evaluate(layer: str, measures: Measures, checks: Sequence[Check]) -> DataFrame:
+    results = [result_of(measures, check, at) for at, check in enumerate(checks)]
     return measures.all().select(F.lit(layer).alias("layer"), F.inline(F.array(*results)))
 
 

@@ -15,7 +15,7 @@ from tierline.functions import month_of
 from tierline.operators import cleaning, quarantine, star
 from tierline.plans.checks import assert_checks, run_checks
 from tierline.plans.suites import constraint_checks
-from tierline.schemas import CLEAN, LINEAGE, RAW, RAW_FILES, STAR
+from tierline.schemas import CLEAN, LINEAGE, RAW, RAW_FILES, STAR, collated, plain
 from tierline.session import MAX_PARTITIONS, sized, tune
 from tierline.sources import (
     append_load,
@@ -61,6 +61,10 @@ def _raw_schemas(lineage: bool = True) -> dict[str, T.StructType]:
     return {name: T.StructType([*s.fields, *extra]) for name, s in RAW.items()}
 
 
+def _all_collated(tables: Tables, collation: str | None) -> Tables:
+    return {name: collated(df, collation) for name, df in tables.items()}
+
+
 def read_raw(spark: SparkSession, root: str, *, lineage: bool = True) -> Tables:
     """The raw tables of the current version, with or without their lineage columns."""
     return _read_layer(spark, root, RAW_LAYER, _raw_schemas(lineage))
@@ -160,21 +164,30 @@ def count_malformed(
 
 
 def build_clean(
-    spark: SparkSession, raw: Tables, root: str, *, exact: bool = False, strict: bool = False
+    spark: SparkSession,
+    raw: Tables,
+    root: str,
+    *,
+    exact: bool = False,
+    strict: bool = False,
+    collation: str | None = None,
 ) -> Tables:
     """Load the clean layer from raw tables.
 
     Each table is written before the next one reads it, so no step is computed
     twice. The classified line items go to a work table, written once and read by
-    both halves of the split. ``strict`` quarantines malformed line items.
+    both halves of the split. ``strict`` quarantines malformed line items. Under a
+    ``collation`` such as ``UNICODE_CI_AI`` keys are looked up, grouped and kept unique
+    by it; tables are stored as plain text.
     """
     tune(spark)
+    raw = _all_collated(raw, collation)
     tables: Tables = {}
 
     def load(name: str, df: DataFrame) -> None:
         path = layer_path(root, CLEAN_LAYER, name)
-        write_table(df, path)
-        tables[name] = read_table(spark, path, CLEAN[name].schema)
+        write_table(plain(df), path)
+        tables[name] = collated(read_table(spark, path, CLEAN[name].schema), collation)
 
     def products() -> None:
         load("categories", cleaning.build_categories(raw["product_category_translation"]))
@@ -189,9 +202,10 @@ def build_clean(
     classified = write_classified(
         spark, raw["order_items"], tables["orders"], tables["products"], work, strict=strict
     )
+    classified = collated(classified, collation)
     if exact:
         work = layer_path(root, WORK_LAYER, "ranked_order_items")
-        ranked = write_ranked(spark, classified, work)
+        ranked = collated(write_ranked(spark, classified, work), collation)
         good = quarantine.first_items(ranked)
         rejects = quarantine.build_exact_quarantine(classified, ranked)
     else:
@@ -201,7 +215,7 @@ def build_clean(
         lambda: load("order_items", good),
         lambda: load("quarantine_order_items", rejects),
     )
-    return tables
+    return {name: plain(df) for name, df in tables.items()}
 
 
 def write_classified(
@@ -220,38 +234,44 @@ def write_classified(
         quarantine.classify_order_items(raw_items, orders, products, strict=strict), slices
     )
     outcome = F.col(quarantine.REASON).isNotNull().alias(quarantine.REJECTED)
-    stored = classified.select("*", outcome)
+    stored = plain(classified.select("*", outcome))
     write_table(stored, path, [quarantine.REJECTED], gather=False)
     return read_table(spark, path, stored.schema)
 
 
 def write_ranked(spark: SparkSession, classified: DataFrame, path: str) -> DataFrame:
     """Rank the accepted line items once, into a table that both exact outputs read."""
-    ranked = quarantine.rank_accepted(classified)
+    ranked = plain(quarantine.rank_accepted(classified))
     write_table(ranked, path, [quarantine.DUPLICATE], gather=False)
     return read_table(spark, path, ranked.schema)
 
 
 def build_star(
-    spark: SparkSession, clean: Tables, root: str, *, fact_by_month: bool = False
+    spark: SparkSession,
+    clean: Tables,
+    root: str,
+    *,
+    fact_by_month: bool = False,
+    collation: str | None = None,
 ) -> Tables:
-    """Load the star layer from clean tables.
+    """Load the star layer from clean tables, whose keys meet under ``collation``.
 
     ``fact_by_month`` adds a ``purchase_month`` column to the fact and stores it in
     one folder per month, for readers that look at a period at a time.
     """
     tune(spark)
+    clean = _all_collated(clean, collation)
     tables: Tables = {}
 
     def load(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         path = layer_path(root, STAR_LAYER, name)
-        write_table(df, path, partition_by)
+        write_table(plain(df), path, partition_by)
         tables[name] = read_table(spark, path, None if partition_by else STAR[name].schema)
 
     def facts_and_people() -> None:
         path = layer_path(root, WORK_LAYER, "order_profiles")
-        write_table(star.build_order_profiles(clean["orders"], clean["customers"]), path)
-        profiles, items = read_table(spark, path), clean["order_items"]
+        write_table(plain(star.build_order_profiles(clean["orders"], clean["customers"])), path)
+        profiles, items = collated(read_table(spark, path), collation), clean["order_items"]
         fact = star.fact_from_profiles(items, profiles)
         if fact_by_month:
             fact = fact.withColumn("purchase_month", month_of("purchase_ts"))
@@ -295,6 +315,7 @@ def run(
     strict: bool = False,
     enforce: bool = False,
     fact_by_month: bool = False,
+    collation: str | None = None,
     catalog: str | None = None,
     keep_versions: int = KEPT_VERSIONS,
     max_partitions: int = MAX_PARTITIONS,
@@ -307,6 +328,7 @@ def run(
     ``strict`` malformed line items; ``multi_line`` keeps line breaks inside quotes. With
     ``enforce`` a repeated key, a missing required value or an orphan in the clean or star
     layer stops the load with an ``AssertionError``, before anything is published.
+    ``collation`` compares keys and names as ``build_clean`` says, from bronze to gold.
     ``catalog`` names the published tables in the catalog, as ``register`` with that prefix.
     The last ``keep_versions`` versions stay on disk. The caller's settings come back.
     """
@@ -316,12 +338,14 @@ def run(
         raw = ingest_layer(
             spark, input_dir, staged, files=files, escape=escape, multi_line=multi_line
         )
-        clean = build_clean(spark, raw, staged, exact=exact, strict=strict)
+        clean = build_clean(spark, raw, staged, exact=exact, strict=strict, collation=collation)
         if enforce:
-            assert_checks(run_checks(CLEAN_LAYER, clean, constraint_checks(CLEAN)))
-        gold = build_star(spark, clean, staged, fact_by_month=fact_by_month)
+            seen = _all_collated(clean, collation)
+            assert_checks(run_checks(CLEAN_LAYER, seen, constraint_checks(CLEAN)))
+        gold = build_star(spark, clean, staged, fact_by_month=fact_by_month, collation=collation)
         if enforce:
-            assert_checks(run_checks(STAR_LAYER, gold, constraint_checks(STAR)))
+            seen = _all_collated(gold, collation)
+            assert_checks(run_checks(STAR_LAYER, seen, constraint_checks(STAR)))
     publish(spark, output_root, version)
     if catalog is not None:
         register(spark, output_root, prefix=catalog)
@@ -349,4 +373,6 @@ def accounting_by_file(spark: SparkSession, root: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         ranked = quarantine.rank_accepted(classified)
+    # Read without a schema, the folders' names come as text.
+    ranked = ranked.withColumn(quarantine.DUPLICATE, F.col(quarantine.DUPLICATE).cast("boolean"))
     return quarantine.reconcile_by_file(raw, classified, ranked)

@@ -230,6 +230,45 @@ STAR: dict[str, Table] = {
 }
 
 
+# Columns that identify or group rows. Under a collation these are compared by it.
+KEY_TEXT = (
+    "product_category_name",
+    "product_category_name_english",
+    "product_id",
+    "customer_id",
+    "customer_unique_id",
+    "order_id",
+    "category_english",
+    "city",
+    "state",
+)
+BINARY = "UTF8_BINARY"
+
+
+def collated(df: DataFrame, collation: str | None) -> DataFrame:
+    """``df`` with its key columns compared under ``collation``; as it is without one.
+
+    Joins, groups, dedup and distinct counts then follow the collation by themselves.
+    """
+    if collation is None:
+        return df
+    return df.select(*[F.collate(c, collation).alias(c) if c in KEY_TEXT else F.col(c) for c in df.columns])
+
+
+def collated_columns(df: DataFrame) -> list[str]:
+    """Text columns that are not compared byte by byte."""
+    kinds = ((f.name, f.dataType) for f in df.schema.fields)
+    return [name for name, kind in kinds if isinstance(kind, T.StringType) and kind.collation != BINARY]
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """``df`` with all text compared byte by byte, as tables are stored."""
+    there = set(collated_columns(df))
+    if not there:
+        return df
+    return df.select(*[F.collate(c, BINARY).alias(c) if c in there else F.col(c) for c in df.columns])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema``: its columns, in its order, in its types."""
     have = {field.name: field.dataType for field in df.schema.fields}

@@ -41,7 +41,7 @@ def ends_open(line: str, opened: bool, backslash: bool) -> bool:
     Quotes open a field only at its start, so those inside plain text do not count.
     """
     if backslash:
-        line = _PAIR.sub("", line)
+        line = _PAIR.sub("x", line)
     line = line.replace('""', "")
     if opened:
         line = '"' + line

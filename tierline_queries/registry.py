@@ -12,7 +12,16 @@ from pyspark.sql import types as T
 from tierline_queries.layers import Layers, layers, write_csv, write_files
 from tierline.functions import month_of
 from tierline.operators import analysis, quality, quarantine, star
-from tierline.plans import clean_suite, raw_suite, run_checks, star_suite
+from tierline.plans import (
+    build_clean,
+    build_star,
+    clean_suite,
+    measure_load,
+    raw_suite,
+    run_checks,
+    run_stored_checks,
+    star_suite,
+)
 from tierline.plans.checks import CountCheck
 from tierline.plans.pipeline import read_star, write_classified, write_ranked
 from tierline.plans.reports import REPORTS
@@ -194,6 +203,47 @@ def _negative_measures(t: Layers) -> DataFrame:
     return quality.negative_rows(products, list(lower))
 
 
+def _cased(c: str, flag: Column) -> Column:
+    """The key in small letters in some rows, as it is in the others."""
+    return F.when(flag, F.lower(c)).otherwise(F.col(c)).alias(c)
+
+
+def _fact_collated(t: Layers) -> DataFrame:
+    """The fact from raw tables whose keys and names differ in case and accents from row to row."""
+    raw = t.all_raw()
+    items, orders, customers, products = (
+        raw[n] for n in ("order_items", "orders", "customers", "products")
+    )
+    even = F.col("order_item_id").cast("int") % 2 == 0
+    name = F.col("product_category_name")
+    accent = F.when(F.col("product_id").endswith("3"), F.replace(name, F.lit("e"), F.lit("É"))).otherwise(name)
+    raw |= {
+        "order_items": items.withColumns(
+            {c: _cased(c, flag) for c, flag in (("order_id", even), ("product_id", ~even))}
+        ),
+        "orders": orders.withColumn("customer_id", F.lower("customer_id")),
+        "customers": customers.withColumn(
+            "customer_unique_id", _cased("customer_unique_id", F.col("customer_id").endswith("5"))
+        ),
+        "products": products.withColumn("product_category_name", accent),
+    }
+    root = f"{t.root}/collated-{uuid.uuid4().hex[:8]}"
+    clean = build_clean(t.spark, raw, root, collation="UNICODE_CI_AI")
+    fact = build_star(t.spark, clean, root, collation="UNICODE_CI_AI")["fact_order_items"]
+    keys = ("order_id", "product_id", "customer_unique_id")
+    return fact.withColumns({c: F.lower(c) for c in keys})
+
+
+def _suite_by_load(t: Layers) -> DataFrame:
+    """The bronze suite over three loads, each measured by itself, one of them twice."""
+    path, checks = f"{t.root}/measures", raw_suite()
+    parts = {name: df.withColumn("_load", F.pmod(F.xxhash64(*df.columns), F.lit(3))) for name, df in t.all_raw().items()}
+    for load in (0, 1, 2, 1):
+        rows = {name: df.filter(F.col("_load") == load).drop("_load") for name, df in parts.items()}
+        measure_load(rows, checks, path, f"load{load}")
+    return run_stored_checks(t.spark, "bronze", checks, path)
+
+
 def _report(name: str) -> Callable[[Layers], DataFrame]:
     return lambda t: REPORTS[name](t.all_star())
 
@@ -246,6 +296,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "accepted_items": lambda t: t.build_clean("order_items"),
     "quarantined_items": lambda t: quarantine.build_quarantine(t.classify_live()),
     "quarantine_exact": lambda t: t.exact_quarantine(),
+    "fact_collated": _fact_collated,
     "ranked_items": lambda t: quarantine.rank_accepted(t.classified()),
     "dim_products": lambda t: t.build_star("dim_products"),
     "dim_customers": lambda t: star.build_dim_customers(
@@ -324,6 +375,7 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
         },
     ),
     "dq_suite_bronze": lambda t: run_checks("bronze", t.all_raw(), raw_suite()),
+    "dq_suite_bronze_by_load": _suite_by_load,
     "dq_suite_silver": lambda t: run_checks(
         "silver",
         {
