@@ -36,11 +36,16 @@ def keys(text):
     return [re.sub(r"#\d+L?", "", e).rsplit(", ", 1)[0] for e in exchanges(text)]
 
 
+# Records that span lines are cut by Arrow batches; nothing else leaves the JVM.
+CUT_RECORDS = {"csv_ingest_line_breaks", "csv_ingest_both_escapes"}
+
+
 @pytest.mark.parametrize("name", sorted(OPERATORS))
 def test_no_cross_joins_and_no_python(tables, name, shuffled):
     text = plan(OPERATORS[name](tables))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "InPandas", "Python"):
         assert bad not in text
+    assert ("InArrow" in text) == (name in CUT_RECORDS)
     assert "BroadcastHashJoin" not in text  # nothing is broadcast unless its size allows
 
 
@@ -116,3 +121,22 @@ def test_scans_are_pruned_and_filtered(tables):
     text = OPERATORS["delivery_range"](tables)._jdf.queryExecution().toString()
     assert "ReadSchema: struct<delivery_days:int>" in text
     assert "PushedFilters: [IsNotNull(delivery_days)]" in text
+
+
+@pytest.mark.parametrize(
+    "name, pushed", [("table_listing_footers", "COUNT(*)"), ("delivery_range_footers", "MIN(delivery_days), MAX(delivery_days)")]
+)
+def test_footers_answer_counts_and_ranges(spark, tables, name, pushed):
+    text = plan(OPERATORS[name](tables))
+    assert text.count(f"PushedAggregation: [{pushed}]") == (3 if "table" in name else 1)
+    # Only what the footers hold is read, no column of the rows.
+    assert not re.search(r"ReadSchema: struct<(order_id|price|state)", text)
+    listed = spark.conf.get("spark.sql.sources.useV1SourceList")
+    assert "parquet" in listed.split(",")
+    fact = tables.star("fact_order_items")
+    assert "PushedAggregation" not in plan(fact.filter("price > 5").groupBy("order_status").count())
+
+
+def test_running_totals_stay_in_their_ranges(tables):
+    text = plan(OPERATORS["running_revenue_by_order"](tables))
+    assert "SinglePartition" not in text and text.count("Window [") <= 1

@@ -16,7 +16,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline.plans import clean_suite, pipeline, raw_suite, run_checks, star_suite
-from tierline.plans.reports import REPORTS
+from tierline.plans.reports import FOOTER_REPORTS, REPORTS
 from tierline.plans.suites import PUBLIC_DATA_ROWS
 from tierline.session import sized
 
@@ -111,7 +111,9 @@ def _print(report: DataFrame) -> None:
 
 def _answer(spark: SparkSession, options: argparse.Namespace) -> int:
     if options.command == "report":
-        _print(REPORTS[options.name](pipeline.read_star(spark, options.root)))
+        quick = options.name in FOOTER_REPORTS
+        report = (FOOTER_REPORTS if quick else REPORTS)[options.name]
+        _print(report(pipeline.read_star(spark, options.root, footers=quick)))
         return 0
     if options.command == "account":
         found = pipeline.accounting_by_file(spark, options.root).orderBy("source_file")

@@ -27,6 +27,7 @@ from tierline.sources import (
     malformed_lines,
     new_version,
     publish,
+    read_footers,
     read_loads,
     read_table,
     register_table,
@@ -48,10 +49,12 @@ def _together(*steps: Callable[[], None]) -> None:
             done.result()
 
 
-def _read_layer(spark: SparkSession, root: str, layer: str, schemas: Mapping) -> Tables:
-    home = current_path(spark, root)
+def _read_layer(
+    spark: SparkSession, root: str, layer: str, schemas: Mapping, footers: bool = False
+) -> Tables:
+    home, read = current_path(spark, root), read_footers if footers else read_table
     return {
-        name: read_table(spark, layer_path(home, layer, name), schema)
+        name: read(spark, layer_path(home, layer, name), schema)
         for name, schema in schemas.items()
     }
 
@@ -74,8 +77,11 @@ def read_clean(spark: SparkSession, root: str) -> Tables:
     return _read_layer(spark, root, CLEAN_LAYER, {n: t.schema for n, t in CLEAN.items()})
 
 
-def read_star(spark: SparkSession, root: str, names: Sequence[str] = tuple(STAR)) -> Tables:
-    return _read_layer(spark, root, STAR_LAYER, {n: STAR[n].schema for n in names})
+def read_star(
+    spark: SparkSession, root: str, names: Sequence[str] = tuple(STAR), *, footers: bool = False
+) -> Tables:
+    """The star tables; with ``footers`` for reports that file footers can answer."""
+    return _read_layer(spark, root, STAR_LAYER, {n: STAR[n].schema for n in names}, footers)
 
 
 def ingest_layer(

@@ -35,3 +35,9 @@ REPORTS: dict[str, Callable[[Star], DataFrame]] = {
         t["fact_order_items"], t["dim_products"]
     ),
 }
+
+# Reports that file footers answer, over tables read for that.
+FOOTER_REPORTS: dict[str, Callable[[Star], DataFrame]] = {
+    "table_listing": count_tables,
+    "delivery_range": lambda t: analysis.delivery_range(t["fact_order_items"], delivered_only=False),
+}

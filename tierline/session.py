@@ -24,6 +24,8 @@ MIB = 1024 * 1024
 #
 # maxConcurrentOutputFileWriters: a task that writes a few partition values keeps
 # their files open side by side instead of sorting its rows by value first.
+#
+# aggregatePushdown: counts and ranges come from Parquet footers where the reader can.
 RUNTIME_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -31,6 +33,7 @@ RUNTIME_SETTINGS: dict[str, str] = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MIB),
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

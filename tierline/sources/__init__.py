@@ -6,7 +6,14 @@ from tierline.sources.catalog import (
     register_table,
 )
 from tierline.sources.csv import ingest_raw, malformed_lines
-from tierline.sources.files import append_load, layer_path, read_loads, read_table, write_table
+from tierline.sources.files import (
+    append_load,
+    layer_path,
+    read_footers,
+    read_loads,
+    read_table,
+    write_table,
+)
 from tierline.sources.versions import (
     current_path,
     current_version,
@@ -31,6 +38,7 @@ __all__ = [
     "new_version",
     "publish",
     "publish_table",
+    "read_footers",
     "read_loads",
     "read_table",
     "register_table",

@@ -35,6 +35,8 @@ def write_table(
 
 
 LOAD = "load_id"
+# Formats read without aggregate push-down; a frame keeps the reader it was made with.
+_OLD_READERS = "spark.sql.sources.useV1SourceList"
 
 
 def append_load(df: DataFrame, path: str, load_id: str) -> None:
@@ -66,3 +68,20 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     """Read a written table; a known schema saves the inference job."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
+
+
+def read_footers(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A written table for counts and ranges that the files' footers know.
+
+    Row counts, and least and greatest values of whole numbers and dates, are answered from
+    the footers as long as nothing is filtered or grouped by other than folders; decimals,
+    timestamps and text are read as usual. Only this reader asks footers, so tables for
+    any other use come from ``read_table``.
+    """
+    listed = spark.conf.get(_OLD_READERS)
+    others = [name for name in listed.split(",") if name != "parquet"]
+    spark.conf.set(_OLD_READERS, ",".join(others))
+    try:
+        return read_table(spark, path, schema)
+    finally:
+        spark.conf.set(_OLD_READERS, listed)

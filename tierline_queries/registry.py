@@ -24,7 +24,7 @@ from tierline.plans import (
 )
 from tierline.plans.checks import CountCheck
 from tierline.plans.pipeline import read_star, write_classified, write_ranked
-from tierline.plans.reports import REPORTS
+from tierline.plans.reports import FOOTER_REPORTS, REPORTS
 from tierline.schemas import AMOUNT, RAW
 from tierline.sources import (
     append_load,
@@ -37,6 +37,7 @@ from tierline.sources import (
     new_version,
     publish,
     publish_table,
+    read_footers,
     read_loads,
     register_table,
     version_path,
@@ -168,13 +169,18 @@ def _versioned_reload(t: Layers) -> DataFrame:
         if last:
             publish(t.spark, root, version)
     current = read_star(t.spark, root, ["fact_order_items"])["fact_order_items"]
-    return (
-        current.groupBy("order_status")
-        .agg(F.count(F.lit(1)).alias("fact_rows"), F.sum("price").cast("decimal(20,2)").alias("total_revenue"))
-        .crossJoin(versions(t.spark, root).agg(F.count(F.lit(1)).alias("n_versions")))
+    return current.groupBy("order_status").agg(
+        F.count(F.lit(1)).alias("fact_rows"),
+        F.sum("price").cast("decimal(20,2)").alias("total_revenue"),
+        F.lit(versions(t.spark, root).count()).cast("long").alias("n_versions"),
     )
 
 
+def _footers(t: Layers) -> dict[str, DataFrame]:
+    """The star tables, read for what their files' footers know."""
+    return {name: read_footers(t.spark, t.star_path(name), df.schema) for name, df in t.all_star().items()}
+
+
 def _published_layer(t: Layers) -> DataFrame:
     """Publish the star tables as managed tables of a dropped and created layer, twice; list it."""
     layer = "published_" + t.root.rsplit("-", 1)[-1]
@@ -289,6 +295,8 @@ OPERATORS: dict[str, Callable[[Layers], DataFrame]] = {
     "append_by_load": _append_by_load,
     "versioned_reload": _versioned_reload,
     "published_layer": _published_layer,
+    "table_listing_footers": lambda t: FOOTER_REPORTS["table_listing"](_footers(t)),
+    "delivery_range_footers": lambda t: FOOTER_REPORTS["delivery_range"](_footers(t)),
     "clean_categories": lambda t: t.build_clean("categories"),
     "clean_products": lambda t: t.build_clean("products"),
     "clean_customers": lambda t: t.build_clean("customers"),
