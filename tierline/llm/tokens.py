@@ -4,8 +4,9 @@ The tokenizers of the ``tokenizers`` library first cut a text into pre-tokens an
 encode each of them by itself. So the ids of a text are the ids of its pieces in
 order, for any cut that falls only where the pre-tokenizer cuts as well. The cuts
 here are of that kind, and a piece that has been encoded before is looked up: most
-of a text is words seen earlier. The memory for pieces is bounded; it is emptied
-when full, which costs time and changes no id.
+of a text is words seen earlier. The memory for pieces is bounded: it has two halves,
+and when the younger is full the older is dropped, so frequent pieces stay. That
+changes no id.
 
 A text that holds the string of a special token goes to the library whole, as there the
 string is cut out before anything else.
@@ -40,8 +41,9 @@ SPACED_PIECES = _pieces(" ?", f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 # Vocabularies with word ends drop white space and never reach across it.
 WORD_PIECES = _pieces("", "")
 
-# Bytes of remembered pieces, and about what one takes besides its characters and ids.
-MEMORY = 64 * 1024 * 1024
+# Bytes of each half of the remembered pieces, and about what one takes besides its
+# characters and ids.
+MEMORY = 40 * 1024 * 1024
 PIECE_BYTES = 190
 LONG_PIECE = 64
 
@@ -72,8 +74,7 @@ class Encoder:
                 return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         known = self.known
         if known.held > MEMORY:
-            known.clear()
-            known.held = 0
+            known.age()
         return b"".join(map(known.__getitem__, self.pieces.findall(text)))
 
     def count(self, text: str | None) -> int:
@@ -96,23 +97,37 @@ class _Known(dict):
 
     def __init__(self, tokenizer) -> None:
         super().__init__()
-        self.held = 0
-        self.normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else None
+        self.held, self.older = 0, {}
+        self.normal = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
+        # What the normalizer does to printable ASCII, where it is one of these.
+        probe = "".join(map(chr, range(0x21, 0x7F)))
+        ways = {probe: str, probe.lower(): str.lower}
+        self.ascii_normal = ways.get(self.normal(probe), self.normal)
         self.cut = tokenizer.pre_tokenizer.pre_tokenize_str
         self.tokenize = tokenizer.model.tokenize
 
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+        self.held = 0
+
     def __missing__(self, piece: str) -> bytes:
-        text = self.normal(piece) if self.normal else piece
-        if ONE_KIND.fullmatch(text):
-            ids = [t.id for t in self.tokenize(text.encode().decode("latin-1").translate(ALPHABET))]
-        else:
-            ids = [t.id for part, _ in self.cut(text) for t in self.tokenize(part)]
-        out = _packed(ids)
+        out = self.older.get(piece)
+        if out is None:
+            out = self.ids_of(piece)
         if len(piece) <= LONG_PIECE:
             self[piece] = out
             self.held += PIECE_BYTES + len(piece) + len(out)
         return out
 
+    def ids_of(self, piece: str) -> bytes:
+        text = self.ascii_normal(piece) if piece.isascii() else self.normal(piece)
+        if ONE_KIND.fullmatch(text):
+            ids = [t.id for t in self.tokenize(text.encode().decode("latin-1").translate(ALPHABET))]
+        else:
+            ids = [t.id for part, _ in self.cut(text) for t in self.tokenize(part)]
+        return _packed(ids)
+
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
