@@ -202,7 +202,10 @@ def _deal(docs: DataFrame, store: Store, id_column: str, text_column: str) -> Da
         .option("path", store.path("dealt"))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    dealt = spark.table(name)
+    # The frame knows its files and buckets; the name is only needed to get it.
+    spark.sql(f"DROP TABLE {name}")
+    return dealt
 
 
 def _ranges(hits: DataFrame) -> DataFrame:
