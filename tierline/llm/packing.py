@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import Store, map_rows
+from tierline.llm.common import Store, slices
 from tierline.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -52,14 +52,23 @@ def cut_pieces(
     """One row per piece of each document's ids with the end id."""
     end = struct.pack("<I", end_id)
 
-    def pieces(state, doc_id: int | None, text: str | None) -> Iterator[tuple]:
-        ids = state.encode(text) + end
-        for at in range(0, len(ids), 4 * capacity):
-            part = ids[at : at + 4 * capacity]
-            yield doc_id, at // (4 * capacity), at // 4, len(part) // 4, zlib.crc32(part)
+    def cut(doc_ids: list, texts: pa.Array) -> Iterator[tuple]:
+        all_ids, starts = encoder(vocabulary, False).encode_all(texts)
+        for doc_id, a, b in zip(doc_ids, starts[:-1].tolist(), starts[1:].tolist()):
+            ids = all_ids[a:b].tobytes() + end
+            for at in range(0, len(ids), 4 * capacity):
+                part = ids[at : at + 4 * capacity]
+                yield doc_id, at // (4 * capacity), at // 4, len(part) // 4, zlib.crc32(part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        for batch in (part for whole in batches for part in slices(whole, 4096)):
+            rows = zip(*cut(batch.column(0).to_pylist(), batch.column(1)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
 
     keyed = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    return map_rows(keyed, ["doc_id", "text"], pieces, PIECES, lambda: encoder(vocabulary, False))
+    return keyed.mapInArrow(run, PIECES)
 
 
 def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -18,6 +18,10 @@ import functools
 import re
 import struct
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # Unicode's white space, which the library's \s means.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Some letters, and ASCII punctuation without the apostrophe of contractions: a run
@@ -62,6 +66,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.special = [token.content.lower() for token in added] if special else []
+        self.spaced = spaced
         self.pieces = SPACED_PIECES if spaced else WORD_PIECES
         self.known = _Known(self.tokenizer)
 
@@ -77,6 +82,87 @@ class Encoder:
             known.age()
         return b"".join(map(known.__getitem__, self.pieces.findall(text)))
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, end to end, and where each text's ids begin, and the last end.
+
+        For vocabularies with word ends. The bytes of all texts are cut by kind at once,
+        Arrow numbers the strings between the cuts, and each different one is encoded once;
+        the ids of all are then gathered by number.
+        """
+        if self.spaced:
+            raise ValueError("white space is part of this vocabulary's pieces")
+        apart = self._with_special(texts)
+        if apart:
+            plain = pa.array([i not in apart for i in range(len(texts))])
+            texts = pc.if_else(plain, texts, pa.scalar("", texts.type))
+        texts = pc.fill_null(texts, "").cast(pa.string())
+        begins = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[begins[0] : begins[-1]]
+        cuts = _cuts(data, begins - begins[0])
+        if self.known.held > MEMORY:
+            self.known.age()
+        parts = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
+        numbered = parts.dictionary_encode()
+        found = self._encode_parts(numbered.dictionary.to_pylist())
+        size = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        begin = np.cumsum(size) - size
+        of = numbered.indices.to_numpy()
+        each = size[of]
+        ends = np.concatenate([[0], np.cumsum(each)])
+        at = np.repeat(begin[of] - ends[:-1], each) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), dtype="<u4")[at]
+        starts = ends[np.searchsorted(cuts, begins - begins[0])]
+        return self._put_in(ids, starts, apart) if apart else (ids, starts)
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of different strings without white space inside, or of white space.
+
+        New ones of one kind are each one pre-token, so the library encodes them together.
+        """
+        known, findall = self.known, self.pieces.findall
+        found = list(map(known.recall, parts))
+        new = []
+        for k, part in enumerate(parts):
+            if found[k] is None:
+                if len(part) <= LONG_PIECE and ONE_KIND.fullmatch(part):
+                    new.append(k)
+                else:
+                    found[k] = b"".join(map(known.__getitem__, findall(part)))
+                    known.remember(part, found[k])
+        words = [parts[k] for k in new]
+        encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        of = np.array(encoding.word_ids, dtype=np.int64)
+        ends = np.cumsum(np.bincount(of, minlength=len(words))) * 4
+        ids = np.array(encoding.ids, dtype="<u4").tobytes()
+        if len(ends) != len(words):
+            raise ValueError("the vocabulary's pre-tokenizer cuts words of one kind")
+        for k, a, b in zip(new, [0, *ends.tolist()], ends.tolist()):
+            found[k] = ids[a:b]
+            known.remember(parts[k], found[k])
+        return found
+
+    def _with_special(self, texts: pa.Array) -> dict[int, np.ndarray]:
+        """Ids of the texts that hold a special token's string, by place."""
+        if not self.special:
+            return {}
+        lowered = ((i, t, t.lower()) for i, t in enumerate(texts.to_pylist()) if t)
+        return {
+            i: np.frombuffer(self.encode(text), dtype="<u4")
+            for i, text, low in lowered
+            if any(token in low for token in self.special)
+        }
+
+    @staticmethod
+    def _put_in(ids: np.ndarray, starts: np.ndarray, apart: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Insert the ids of texts that were encoded apart and are empty so far."""
+        places = sorted(apart)
+        joined = np.concatenate([apart[i] for i in places])
+        whole = np.insert(ids, np.repeat(starts[places], [len(apart[i]) for i in places]), joined)
+        grown = np.zeros(len(starts), dtype=np.int64)
+        for i in places:
+            grown[i + 1] += len(apart[i])
+        return whole, starts + np.cumsum(grown)
+
     def count(self, text: str | None) -> int:
         return len(self.encode(text)) // 4
 
@@ -111,14 +197,25 @@ class _Known(dict):
         self.clear()
         self.held = 0
 
-    def __missing__(self, piece: str) -> bytes:
-        out = self.older.get(piece)
-        if out is None:
-            out = self.ids_of(piece)
+    def remember(self, piece: str, ids: bytes) -> None:
         if len(piece) <= LONG_PIECE:
-            self[piece] = out
-            self.held += PIECE_BYTES + len(piece) + len(out)
-        return out
+            self[piece] = ids
+            self.held += PIECE_BYTES + len(piece) + len(ids)
+
+    def recall(self, piece: str) -> bytes | None:
+        ids = self.get(piece)
+        if ids is None:
+            ids = self.older.get(piece)
+            if ids is not None:
+                self.remember(piece, ids)
+        return ids
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.ids_of(piece)
+        self.remember(piece, ids)
+        return ids
 
     def ids_of(self, piece: str) -> bytes:
         text = self.ascii_normal(piece) if piece.isascii() else self.normal(piece)
@@ -133,6 +230,30 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+# Kinds of bytes: white space, letters, marks, and all others. Letters of two bytes are
+# found by their first, 0xC3; the two signs among them are none.
+_SPACES, _LETTERS, _MARKS, _OTHERS = 0, 1, 2, 4
+KIND = np.full(256, _OTHERS, dtype=np.uint8)
+KIND[[*range(0x09, 0x0E), 0x20]] = _SPACES
+KIND[[ord(c) for c in map(chr, range(128)) if re.match(f"[{LETTER}]", c)]] = _LETTERS
+KIND[[ord(c) for c in map(chr, range(128)) if re.match(f"[{MARK}]", c)]] = _MARKS
+SIGNS = (0x97, 0xB7)
+
+
+def _cuts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Places in UTF-8 ``data`` where white space begins or ends, letters meet marks, or a text begins."""
+    kind = KIND[data]
+    first = np.flatnonzero(data[:-1] == 0xC3)
+    first = first[~np.isin(data[first + 1], SIGNS)]
+    kind[first] = kind[first + 1] = _LETTERS
+    left, right = kind[:-1], kind[1:]
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    if len(data):
+        cut[1:-1] = ((left == _SPACES) != (right == _SPACES)) | (left | right == _LETTERS | _MARKS)
+    cut[begins] = True
+    return np.flatnonzero(cut)
+
+
 @functools.lru_cache(maxsize=1)
 def encoder(vocabulary: str, spaced: bool, special: bool = True) -> Encoder:
     """One encoder per worker process: later tasks find the pieces of earlier ones."""
