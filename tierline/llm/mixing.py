@@ -19,7 +19,7 @@ Tokens are words here. Totals are kept at the target weights with the ``good`` d
 its present size, so clean documents stay while the others are thinned or repeated.
 
 Defined results: a null or empty text has no tokens, the prior as posterior and a rate by
-it; without labelled rows all posteriors are equal; of several labels of one document the
+it; without labelled texts all posteriors are equal and every rate is 1; of several labels of one document the
 worst counts; null labels are ignored; repeated rows get equal rates and equal copies;
 an empty table gives no rows.
 """
@@ -71,6 +71,7 @@ def features(text: str | None) -> tuple[set[str], int]:
 class Classifier:
     def __init__(self, bias: Sequence[float], weights: dict[str, np.ndarray]) -> None:
         self.bias, self.weights, self.temperature = np.array(bias), weights, 1.0
+        self.informed = True
 
     def posterior(self, found: set[str], temperature: float | None = None) -> np.ndarray:
         logit = sum((self.weights[f] for f in found if f in self.weights), self.bias)
@@ -121,6 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, store, *, id_column: str = "doc_id",
         gain += F.when(n > 0, n * F.log(n * n_all / (n_word * max(1, total)))).otherwise(0.0)
     best = words.where(gain >= MIN_GAIN).orderBy(gain.desc(), "word").limit(VOCABULARY).collect()
     model = _regress(train, [r.word for r in best])
+    model.informed = sum(totals) > 0
 
     def losses(_, domain: int, found: list[str]) -> Iterator[tuple]:
         yield tuple(-math.log(max(1e-12, model.posterior(set(found), t)[domain])) for t in TEMPERATURES)
@@ -249,6 +251,11 @@ def fit_rates(mixed: DataFrame, names: Sequence[str], target: Sequence[float] =
     return steps
 
 
+def _steps(model: Classifier, mixed: DataFrame, names: Sequence[str], target: Sequence[float]) -> list[list[float]]:
+    """Steps to the target; none where no labelled text told the domains apart, so that all stay."""
+    return fit_rates(mixed, names, target) if model.informed else []
+
+
 def descend(state, totals: np.ndarray, curvature: np.ndarray, goal: np.ndarray) -> tuple[list[list[float]], np.ndarray, float]:
     """Steps to ``goal``, the remaining gap, and its largest part as a share of the total.
 
@@ -294,7 +301,7 @@ def mix_rates(docs: DataFrame, labels: DataFrame, store, *, target: Sequence[flo
     names = free_names(slim.columns)
     model = fit(slim, labels, store)
     mixed = store.keep(annotate(slim, model, names).drop("text"), "mixed")
-    rate = rate_after(fit_rates(mixed, names, target), names[1:])
+    rate = rate_after(_steps(model, mixed, names, target), names[1:])
     return mixed.select(
         "doc_id",
         F.col(names[0]).alias("n_tokens"),
@@ -307,8 +314,9 @@ def mix_rates(docs: DataFrame, labels: DataFrame, store, *, target: Sequence[flo
 def mix(docs: DataFrame, labels: DataFrame, store, *, target: Sequence[float] = TARGET) -> DataFrame:
     """``docs`` with each row as often as its copies say."""
     names = free_names(docs.columns)
-    mixed = store.keep(annotate(docs, fit(docs, labels, store), names), "mixed")
-    rate = rate_after(fit_rates(mixed, names, target), names[1:])
+    model = fit(docs, labels, store)
+    mixed = store.keep(annotate(docs, model, names), "mixed")
+    rate = rate_after(_steps(model, mixed, names, target), names[1:])
     times = F.sequence(F.lit(1), copies(rate, F.col("doc_id")).cast("int"))
     repeated = mixed.where(copies(rate, F.col("doc_id")) > 0).withColumn(names[0], F.explode(times))
     return repeated.select(*(F.col(f"`{c}`") for c in docs.columns))
