@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import map_rows
+from tierline.llm.common import map_rows, slices
 from tierline.llm.tokens import encoder
 
 MAGIC = b"TKD1"
@@ -41,6 +41,8 @@ SAMPLE_DOCS = 2_000
 SAMPLE_BYTES = 16 * 1024 * 1024
 DICTIONARY_BYTES = 32 * 1024
 SEGMENT_BYTES = 4 * 1024 * 1024
+# Bytes of each half of a worker's remembered pieces.
+PIECE_MEMORY = 80 * 1024 * 1024
 
 
 def train_dictionary(
@@ -59,7 +61,7 @@ def train_dictionary(
     sample = chosen.withColumn("before", before).where(F.col("before") < SAMPLE_BYTES).orderBy("hash").select("text")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, True).encode
+        encode = encoder(vocabulary, True, memory=PIECE_MEMORY).encode
         samples = [encode(t) for b in batches for t in b.column(0).to_pylist()]
         samples = [s for s in samples if s]
         try:
@@ -141,7 +143,8 @@ def write_tokens(
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary, True).encode, struct.pack("<I", end_id)
+        encode_all = encoder(vocabulary, True, memory=PIECE_MEMORY).encode_all
+        end = struct.pack("<I", end_id)
         shared = _dictionary(dictionary)
         if shared:
             shared.precompute_compress(level=3)
@@ -157,11 +160,12 @@ def write_tokens(
                 names=["part", "start_in_part", "n_tokens", "n_docs", "image"],
             )
 
-        for batch in batches:
-            for at in range(batch.num_rows):
-                ids = encode(batch.column(1)[at].as_py()) + end
+        for batch in (part for whole in batches for part in slices(whole, 2048)):
+            all_ids, starts = encode_all(batch.column(1))
+            for doc_id, a, b in zip(batch.column(0).to_pylist(), starts[:-1].tolist(), starts[1:].tolist()):
+                ids = all_ids[a:b].tobytes() + end
                 frame = packer.compress(ids)
-                held.append((batch.column(0)[at].as_py(), frame))
+                held.append((doc_id, frame))
                 tokens, size = tokens + len(ids) // 4, size + len(frame)
                 if size >= SEGMENT_BYTES:
                     yield segment()

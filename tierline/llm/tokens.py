@@ -59,9 +59,11 @@ class Encoder:
     special tokens in a text are their ids if ``special``, ordinary text otherwise.
     """
 
-    def __init__(self, vocabulary: str, spaced: bool, special: bool = True) -> None:
+    def __init__(self, vocabulary: str, spaced: bool, special: bool = True, memory: int = MEMORY) -> None:
         from tokenizers import Tokenizer
 
+        self.memory = memory
+
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = not special
         added = self.tokenizer.get_added_tokens_decoder().values()
@@ -78,19 +80,17 @@ class Encoder:
             if any(token in lowered for token in self.special):
                 return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
         known = self.known
-        if known.held > MEMORY:
+        if known.held > self.memory:
             known.age()
         return b"".join(map(known.__getitem__, self.pieces.findall(text)))
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, end to end, and where each text's ids begin, and the last end.
 
-        For vocabularies with word ends. The bytes of all texts are cut by kind at once,
-        Arrow numbers the strings between the cuts, and each different one is encoded once;
-        the ids of all are then gathered by number.
+        The bytes of all texts are cut by kind at once, Arrow numbers the strings between
+        the cuts, and each different one is encoded once; the ids of all are then gathered
+        by number.
         """
-        if self.spaced:
-            raise ValueError("white space is part of this vocabulary's pieces")
         apart = self._with_special(texts)
         if apart:
             plain = pa.array([i not in apart for i in range(len(texts))])
@@ -98,8 +98,8 @@ class Encoder:
         texts = pc.fill_null(texts, "").cast(pa.string())
         begins = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[begins[0] : begins[-1]]
-        cuts = _cuts(data, begins - begins[0])
-        if self.known.held > MEMORY:
+        cuts = _cuts(data, begins - begins[0], self.spaced)
+        if self.known.held > self.memory:
             self.known.age()
         parts = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
         numbered = parts.dictionary_encode()
@@ -115,22 +115,26 @@ class Encoder:
         return self._put_in(ids, starts, apart) if apart else (ids, starts)
 
     def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of different strings without white space inside, or of white space.
+        """Ids of different strings between cuts.
 
-        New ones of one kind are each one pre-token, so the library encodes them together.
+        New ones of one kind are each one pre-token, so the library encodes them together,
+        with a space between them; where the space is part of a piece, they bring it along.
         """
         known, findall = self.known, self.pieces.findall
-        found = list(map(known.recall, parts))
+        found = list(map(known.get, parts))
         new = []
-        for k, part in enumerate(parts):
-            if found[k] is None:
-                if len(part) <= LONG_PIECE and ONE_KIND.fullmatch(part):
-                    new.append(k)
-                else:
-                    found[k] = b"".join(map(known.__getitem__, findall(part)))
-                    known.remember(part, found[k])
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            part, found[k] = parts[k], known.older.get(parts[k])
+            if found[k] is not None:
+                known.remember(part, found[k])
+            elif len(part) <= LONG_PIECE and ONE_KIND.fullmatch(part) and self.spaced == (part[0] == " "):
+                new.append(k)
+            else:
+                found[k] = b"".join(map(known.__getitem__, findall(part)))
+                known.remember(part, found[k])
         words = [parts[k] for k in new]
-        encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        joined = ("" if self.spaced else " ").join(words)
+        encoding = self.tokenizer.encode(joined, add_special_tokens=False)
         of = np.array(encoding.word_ids, dtype=np.int64)
         ends = np.cumsum(np.bincount(of, minlength=len(words))) * 4
         ids = np.array(encoding.ids, dtype="<u4").tobytes()
@@ -145,12 +149,9 @@ class Encoder:
         """Ids of the texts that hold a special token's string, by place."""
         if not self.special:
             return {}
-        lowered = ((i, t, t.lower()) for i, t in enumerate(texts.to_pylist()) if t)
-        return {
-            i: np.frombuffer(self.encode(text), dtype="<u4")
-            for i, text, low in lowered
-            if any(token in low for token in self.special)
-        }
+        holds = [pc.fill_null(pc.match_substring(texts, token, ignore_case=True), False) for token in self.special]
+        places = pc.indices_nonzero(functools.reduce(pc.or_, holds)).to_pylist()
+        return {i: np.frombuffer(self.encode(texts[i].as_py()), dtype="<u4") for i in places}
 
     @staticmethod
     def _put_in(ids: np.ndarray, starts: np.ndarray, apart: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -202,14 +203,6 @@ class _Known(dict):
             self[piece] = ids
             self.held += PIECE_BYTES + len(piece) + len(ids)
 
-    def recall(self, piece: str) -> bytes | None:
-        ids = self.get(piece)
-        if ids is None:
-            ids = self.older.get(piece)
-            if ids is not None:
-                self.remember(piece, ids)
-        return ids
-
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
@@ -232,16 +225,21 @@ def _packed(ids: list[int]) -> bytes:
 
 # Kinds of bytes: white space, letters, marks, and all others. Letters of two bytes are
 # found by their first, 0xC3; the two signs among them are none.
-_SPACES, _LETTERS, _MARKS, _OTHERS = 0, 1, 2, 4
+_SPACES, _LETTERS, _MARKS, _OTHERS, _PLAIN_OTHERS = 0, 1, 2, 4, 8
 KIND = np.full(256, _OTHERS, dtype=np.uint8)
+KIND[:128] = _PLAIN_OTHERS
 KIND[[*range(0x09, 0x0E), 0x20]] = _SPACES
 KIND[[ord(c) for c in map(chr, range(128)) if re.match(f"[{LETTER}]", c)]] = _LETTERS
 KIND[[ord(c) for c in map(chr, range(128)) if re.match(f"[{MARK}]", c)]] = _MARKS
 SIGNS = (0x97, 0xB7)
 
 
-def _cuts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Places in UTF-8 ``data`` where white space begins or ends, letters meet marks, or a text begins."""
+def _cuts(data: np.ndarray, begins: np.ndarray, spaced: bool) -> np.ndarray:
+    """Places in UTF-8 ``data`` where white space begins, letters meet marks, or a text begins.
+
+    Where white space is dropped they are also where it ends. Where it is kept, it begins
+    only after bytes that are certain not to be white space themselves.
+    """
     kind = KIND[data]
     first = np.flatnonzero(data[:-1] == 0xC3)
     first = first[~np.isin(data[first + 1], SIGNS)]
@@ -249,12 +247,16 @@ def _cuts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
     left, right = kind[:-1], kind[1:]
     cut = np.zeros(len(data) + 1, dtype=bool)
     if len(data):
-        cut[1:-1] = ((left == _SPACES) != (right == _SPACES)) | (left | right == _LETTERS | _MARKS)
+        if spaced:
+            blank = (right == _SPACES) & (left != _SPACES) & (left != _OTHERS)
+        else:
+            blank = (left == _SPACES) != (right == _SPACES)
+        cut[1:-1] = blank | (left | right == _LETTERS | _MARKS)
     cut[begins] = True
     return np.flatnonzero(cut)
 
 
 @functools.lru_cache(maxsize=1)
-def encoder(vocabulary: str, spaced: bool, special: bool = True) -> Encoder:
+def encoder(vocabulary: str, spaced: bool, special: bool = True, memory: int = MEMORY) -> Encoder:
     """One encoder per worker process: later tasks find the pieces of earlier ones."""
-    return Encoder(vocabulary, spaced, special)
+    return Encoder(vocabulary, spaced, special, memory)
