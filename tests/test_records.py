@@ -3,13 +3,14 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings as limits
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from tierline.sources import ingest_raw, malformed_lines
-from tierline.sources.records import BOTH, DOUBLED, ends_open, quote_states, read_records
+from tierline.sources.records import BOTH, DOUBLED, LONG_RUN, WHOLE, _cut, ends_open, quote_states, read_records
 
 SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("a", "b", "c")])
 
@@ -144,3 +145,26 @@ def test_marks_from_the_plain_reader(spark, tmp_path):
         ("1", "2", "3", False),
         ("1", "2", "3", True),
     ]
+
+
+class Batches:
+    """Stands for a frame: hands back what would be run over its batches."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_records_cut_one_by_one_leave_in_one_batch():
+    records = [f'{i},"x\ny"' for i in range(500)]
+    lone = [str(i) for i in range(LONG_RUN + 1)]
+    lines = "\n".join(["a,b", *records, *lone, *records, *lone]).split("\n")
+    n = len(lines)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["f"] * n), pa.array(["f"] * n), pa.array([0] * n, pa.int64()), pa.array(lines)],
+        names=["file", "name", "start", "value"],
+    )
+    run = _cut(Batches(), {("f", 0): (False, False)}, True, False)
+    out = list(run(iter([batch])))
+    assert [r for b in out for r in b["record"].to_pylist()] == [*records, *lone, *records, *lone]
+    assert {k for b in out for k in b["kind"].to_pylist()} == {WHOLE}
+    assert len(out) <= 4

@@ -28,6 +28,9 @@ BACKSLASH, DOUBLED, BOTH = "\\", '"', "both"
 WHOLE, HEAD, TAIL = 0, 1, 2
 IN_HEADER = -1
 
+# Lines without a quote that are handed on as they are once so many follow each other.
+LONG_RUN = 1_000
+
 _PAIR = re.compile(r"\\.", re.DOTALL)
 _QUOTED = re.compile(r'(^|,)"[^"]*"')
 _OPENED = re.compile(r'(^|,)"')
@@ -70,9 +73,10 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[str, str, int, pa.Array]]:
         at += n
 
 
-def _quoted(lines: pa.Array) -> list[int]:
-    """Places of the lines that hold a quote."""
-    return pc.indices_nonzero(pc.match_substring(lines, '"')).to_pylist()
+def _quoted(lines: pa.Array) -> list[tuple[int, str]]:
+    """Places of the lines that hold a quote, and these lines."""
+    places = pc.indices_nonzero(pc.match_substring(lines, '"'))
+    return list(zip(places.to_pylist(), lines.take(places).to_pylist()))
 
 
 def split_ends(lines: DataFrame, backslash: bool) -> DataFrame:
@@ -90,8 +94,7 @@ def split_ends(lines: DataFrame, backslash: bool) -> DataFrame:
                     if split:
                         yield out(split, state)
                     split, state = (file, start), [False, True]
-                for at in _quoted(part):
-                    line = part[at].as_py()
+                for _, line in _quoted(part):
                     state = [ends_open(line, s, backslash) for s in state]
         if split:
             yield out(split, state)
@@ -157,9 +160,9 @@ def _cut(
                     skip = borders and split not in open_splits
                 if skip:
                     continue
-                at = 0
-                for line_at in _quoted(part) if states is not None else []:
-                    line = part[line_at].as_py()
+                # Records cut one by one leave in one batch, not in a batch each.
+                at, cut = 0, []
+                for line_at, line in _quoted(part) if states is not None else []:
                     after = ends_open(line, opened, backslash)
                     if not opened and not after:
                         continue
@@ -168,11 +171,17 @@ def _cut(
                         plain = part[at:line_at]
                         if header and len(plain):
                             plain, header = plain[1:], False
-                        if not borders and len(plain):
+                        if not borders and len(plain) > LONG_RUN:
+                            if cut:
+                                yield rows(split, name, WHOLE, cut)
+                                cut = []
                             yield rows(split, name, WHOLE, plain)
+                        elif not borders and len(plain):
+                            cut += plain.to_pylist()
                         held, kind = [line], WHOLE
                     else:
-                        held += part[at : line_at + 1].to_pylist()
+                        held += part[at:line_at].to_pylist() if line_at > at else []
+                        held.append(line)
                     at, opened = line_at + 1, after
                     if not opened:
                         record = "\n".join(held)
@@ -182,8 +191,10 @@ def _cut(
                         elif header:
                             header = False
                         elif not borders:
-                            yield rows(split, name, WHOLE, [record])
+                            cut.append(record)
                         held, kind = [], WHOLE
+                if cut:
+                    yield rows(split, name, WHOLE, cut)
                 rest = part[at:]
                 if opened:
                     held += rest.to_pylist()
