@@ -3,8 +3,9 @@ from collections import Counter, defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from helpers import bag, final_plan, rows, text_frame
+from helpers import bag, final_plan, plan, rows, text_frame
 from tierline.operators import quarantine as q
 from tierline.schemas import CLEAN, RAW
 
@@ -182,3 +183,20 @@ def test_classify_splits_a_hot_reference_key(spark, settings):
     counts = dict(got.groupBy(q.REASON).count().collect())
     missing = sum(1 for i in range(60_000) if i % 3 and i % 5000 >= 2500)
     assert counts == {"no key": missing, None: 60_000 - missing}
+
+
+@pytest.mark.parametrize("whole_rows", [10, 100, 100_000])
+def test_counted_ranking_shuffles_rows_once_but_for_hot_keys(spark, scratch, whole_rows):
+    """A null key, repeated keys and one that holds a third of the rows."""
+    path = f"{scratch}/counted-{whole_rows}"
+    keys = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 != 1, F.col("id").cast("string").substr(1, 3))
+    rows_ = spark.range(3_000).select(keys.alias("k"), (F.col("id") % 4).alias("v"))
+    q.with_slice(rows_).write.mode("overwrite").parquet(path)
+    df = spark.read.parquet(path)
+    marked = q.mark_duplicates_counted(df, ["k"], ["v"], whole_rows=whole_rows)
+    assert marked.columns == [*df.columns, q.DUPLICATE]
+    assert bag(marked.drop(q.SLICE)) == bag(q.mark_duplicates(df, ["k"], ["v"]).drop(q.SLICE))
+    assert marked.filter(~F.col(q.DUPLICATE)).count() == df.select("k").distinct().count()
+    evenly = df.filter("k != 'hot'")
+    once = plan(q.mark_duplicates_counted(evenly, ["k"], ["v"], whole_rows=100))
+    assert once.count("Exchange hashpartitioning") == 1

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tierline.functions import matches, to_type
 from tierline.operators.cleaning import dedup_first, exact_order, unique_keys
-from tierline.schemas import AMOUNT, CLEAN, IS_MALFORMED, SOURCE_FILE, conform
+from tierline.schemas import AMOUNT, CLEAN, IS_MALFORMED, SOURCE_FILE, collated_columns, conform
 
 REASON = "rejection_reason"
 REJECTED = "is_rejected"
@@ -32,6 +32,10 @@ UNSIGNED_DECIMAL = r"^[0-9]+(\.[0-9]+)?$"
 # A key that holds a third of 100 TB is ranked in this many slices, under 1 GB each.
 SLICES = 65_536
 
+# Buckets that keys are counted in, and the rows a bucket may hold to be ranked unsliced.
+BUCKETS = 65_536
+WHOLE_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class Reference:
@@ -128,6 +132,33 @@ def mark_duplicates(
     return grouped.withColumn(DUPLICATE, ~first).drop("_local", "_group")
 
 
+def mark_duplicates_counted(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], *, whole_rows: int = WHOLE_ROWS
+) -> DataFrame:
+    """As :func:`mark_duplicates`, with one shuffle of the rows whose keys are not hot.
+
+    Rows are counted per bucket of their keys' hash, which shuffles a number per bucket
+    and map task. Only buckets of more than ``whole_rows`` rows, or of four times the
+    average, can hold a hot key: they are ranked in slices, the others by key alone. Small
+    tables are ranked in slices, and so are keys under a collation, whose hashes tell
+    apart what the collation holds equal.
+    """
+    if collated_columns(df):
+        return mark_duplicates(df, keys, order_by)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    # One number of each bucket at most reaches the driver.
+    crowded = F.collect_list(F.when(F.col("n") > whole_rows, F.struct("bucket", "n")))
+    found = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), crowded.alias("crowded")).first()
+    if found.total <= whole_rows:
+        return mark_duplicates(df, keys, order_by)
+    hot = [row.bucket for row in found.crowded if row.n > 4 * found.total / BUCKETS]
+    by_key = Window.partitionBy(*keys).orderBy(*order_by, SLICE)
+    is_hot = bucket.isin(hot)
+    cold = (df.filter(~is_hot) if hot else df).withColumn(DUPLICATE, F.row_number().over(by_key) > 1)
+    return cold.unionByName(mark_duplicates(df.filter(is_hot), keys, order_by)) if hot else cold
+
+
 # -- order line items ---------------------------------------------------------
 
 ITEM_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"]
@@ -215,7 +246,7 @@ def rank_accepted(classified: DataFrame) -> DataFrame:
     """
     numbered = accepted(classified).withColumn("_item", _item_number())
     order = ["order_item_id", *ITEM_ORDER, *_lineage(classified)]
-    ranked = mark_duplicates(numbered, ["order_id", "_item"], order)
+    ranked = mark_duplicates_counted(numbered, ["order_id", "_item"], order)
     return ranked.select(*ITEM_COLUMNS, *_lineage(classified), DUPLICATE)
 
 
