@@ -135,3 +135,15 @@ def test_sizing(spark, tmp_path, settings):
     session.size_for(spark, 100 * 10**12)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "100000"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(500 * 10**6)
+
+
+def test_layer_tables_are_written_with_zstd(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    sources.write_table(spark.range(10), f"{scratch}/zstd")
+    files = glob.glob(f"{scratch}/zstd/*.parquet")
+    assert files
+    for file in files:
+        assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
