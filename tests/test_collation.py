@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tierline.operators import quality, quarantine, star
+from tierline.functions.collation import _images
+from tierline.operators import cleaning, quality, quarantine, star
+from tierline.operators.matching import compared
 from tierline.plans import build_clean, build_star, run_checks
 from tierline.plans.suites import constraint_checks
 from tierline.schemas import CLEAN, RAW, STAR, collated, collated_columns, plain
@@ -123,3 +125,63 @@ def test_key_reports_follow_the_collation(spark, raw):
     assert star.build_dim_products(items.select("product_id").limit(0).crossJoin(
         collated(spark.createDataFrame([], CLEAN["products"].schema).drop("product_id"), CI_AI)
     ), collated(spark.createDataFrame([], CLEAN["categories"].schema), CI_AI)).schema == STAR["dim_products"].schema
+
+
+ODD = ["", " ", "O12", "o12", "ó12", "O1 2", "o1 2 ", "straße", "STRASSE", "a-b", "a_b", "A_B", "x\n", "x", "\x00x", "Ａ1", "ﬁ", "FI", "ab", "Ab", "æ", "AE", "b", "9", "10", "中", "é", "E", None]
+
+
+@pytest.mark.parametrize("collation", ["UNICODE_CI_AI", "UNICODE_CI", "UNICODE_AI", "UTF8_LCASE", "UNICODE_CI_AI_RTRIM"])
+def test_sort_keys_compare_as_the_collation_does(spark, collation):
+    made = [f"{a}{b}{c}" for a in "oO0 " for b in "zé-7" for c in "A1 ß"]
+    texts = collated(spark.createDataFrame([(t,) for t in [*ODD, *made]], "order_id string"), collation)
+    keyed = texts.select("order_id", compared(texts, "order_id").alias("key"))
+    other = keyed.toDF("other", "other_key")
+    own, key = F.col("order_id"), F.col("key")
+    wrong = keyed.join(other, own.eqNullSafe(F.col("other")) != key.eqNullSafe(F.col("other_key")))
+    wrong = wrong.unionByName(keyed.join(other, (own < F.col("other")) != (key < F.col("other_key"))))
+    assert wrong.collect() == []
+
+
+def test_plain_keys_need_no_collator(spark):
+    assert {c: bool(_images(spark, c)) for c in ("UNICODE_CI_AI", "UTF8_LCASE", "UNICODE_CI", "UNICODE")} == {
+        "UNICODE_CI_AI": True,
+        "UTF8_LCASE": True,
+        "UNICODE_CI": False,
+        "UNICODE": False,
+    }
+
+
+def compared_types(node):
+    """Types of what a plan joins, sorts and groups by."""
+
+    def each(found):
+        return [found.apply(i) for i in range(found.size())]
+
+    kind, own = node.nodeName(), []
+    if kind in ("Window", "WindowGroupLimit"):
+        own = [*each(node.partitionSpec()), *each(node.orderSpec())]
+    elif kind == "Aggregate":
+        own = each(node.groupingExpressions())
+    elif kind == "Join":
+        own = each(node.condition().get().references().toSeq())
+    return [e.dataType().sql() for e in own] + [t for child in each(node.children()) for t in compared_types(child)]
+
+
+def test_nothing_is_joined_sorted_or_grouped_by_collated_text(spark, raw):
+    clean = {n: collated(spark.createDataFrame([], t.schema), CI_AI) for n, t in CLEAN.items()}
+    source = {n: collated(df, CI_AI) for n, df in raw.items()}
+    orders = collated(raw["orders"].select("order_id", F.lit("u1").alias("customer_unique_id"), "order_status"), CI_AI)
+    profiles = orders.withColumns({"city": F.lit("x"), "state": F.lit("y")})
+    classified = quarantine.classify_order_items(source["order_items"], source["orders"], source["products"])
+    items = source["order_items"].withColumn("price", F.lit(1)).withColumn("freight_value", F.lit(1))
+    for df in (
+        cleaning.build_products(source["products"], source["product_category_translation"]),
+        cleaning.build_customers(source["customers"]),
+        cleaning.build_orders(source["orders"], source["customers"]),
+        classified,
+        quarantine.build_order_items(classified),
+        star.build_order_profiles(cleaning.build_orders(source["orders"], source["customers"]), cleaning.build_customers(source["customers"])),
+        star.people_from_profiles(profiles, items),
+    ):
+        kinds = compared_types(df._jdf.queryExecution().optimizedPlan())
+        assert "BINARY" in kinds and not [k for k in kinds if "COLLATE" in k]

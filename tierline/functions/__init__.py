@@ -1,3 +1,4 @@
+from tierline.functions.collation import BINARY, sort_key
 from tierline.functions.columns import (
     blank_to_null,
     half_up_ratio,
@@ -9,11 +10,13 @@ from tierline.functions.columns import (
 )
 
 __all__ = [
+    "BINARY",
     "blank_to_null",
     "half_up_ratio",
     "is_present",
     "matches",
     "month_of",
+    "sort_key",
     "to_type",
     "to_whole_number",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.functions import is_present, to_type, to_whole_number
+from tierline.operators.matching import compared, join_on
 from tierline.schemas import AMOUNT, BINARY, CLEAN, collated_columns, conform
 
 
@@ -20,7 +21,10 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Col
     (WindowGroupLimit), so a key that holds a third of the rows ships one row per
     task.
     """
-    ranked = Window.partitionBy(*keys).orderBy(*(order_by or keys), *exact_order(df))
+    def of(columns: Sequence[str | Column]) -> list[Column]:
+        return [compared(df, c) if isinstance(c, str) else c for c in columns]
+
+    ranked = Window.partitionBy(*of(keys)).orderBy(*of(order_by or keys), *exact_order(df))
     return (
         df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
     )
@@ -54,7 +58,7 @@ def keep_referenced(
     Spark, which broadcasts ``parent`` only when its size is under the threshold.
     """
     if collation is None:
-        return df.join(parent.select(on), on, "left_semi")
+        return join_on(df, parent.select(on), on, "left_semi")
     child_key = F.collate(df[on], collation)
     parent_key = F.collate(parent[on], collation)
     return df.join(parent, child_key == parent_key, "left_semi")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tierline.functions import matches, to_type
 from tierline.operators.cleaning import dedup_first, exact_order, unique_keys
+from tierline.operators.matching import compared
 from tierline.schemas import AMOUNT, CLEAN, IS_MALFORMED, SOURCE_FILE, collated_columns, conform
 
 REASON = "rejection_reason"
@@ -74,12 +75,12 @@ def classify(df: DataFrame, references: Sequence[Reference], rules: Sequence[Rul
     flags = [f"_found_{i}" for i in range(len(references))]
     joined = df
     for flag, ref in reversed(list(zip(flags, references))):
-        if ref.unique:
-            known = ref.frame.select(F.col(ref.key).alias("_key"))
-        else:
-            known = unique_keys(ref.frame, ref.key, "_key")
+        known = ref.frame.select(compared(ref.frame, ref.key).alias("_key"))
+        if not ref.unique:
+            known = unique_keys(known, "_key", "_key")
         known = known.withColumn(flag, F.lit(True))
-        joined = joined.join(known, joined[ref.key] == known["_key"], "left").drop("_key")
+        keyed = joined.withColumn("_own", compared(joined, ref.key))
+        joined = keyed.join(known, keyed["_own"] == known["_key"], "left").drop("_own", "_key")
 
     checks = [(F.col(flag).isNotNull(), ref.reason) for flag, ref in zip(flags, references)]
     checks += [(F.coalesce(rule.passes, F.lit(False)), rule.reason) for rule in rules]

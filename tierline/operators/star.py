@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import half_up_ratio
+from tierline.operators.matching import compared, join_on
 from tierline.schemas import BINARY, STAR, collated_columns, conform
 
 
 def build_dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Products with the English category name joined in."""
-    named = products.join(categories, "product_category_name", "left")
+    named = join_on(products, categories, "product_category_name", "left")
     return conform(
         named.withColumnRenamed("product_category_name_english", "category_english"),
         STAR["dim_products"].schema,
@@ -25,7 +26,7 @@ def build_order_profiles(orders: DataFrame, customers: DataFrame) -> DataFrame:
     writes it once. It joins at order grain; line items meet it on the order id,
     the only key they are ever shuffled by.
     """
-    return orders.join(customers, "customer_id").select(
+    return join_on(orders, customers, "customer_id").select(
         "order_id",
         "customer_unique_id",
         "city",
@@ -46,15 +47,16 @@ def people_from_profiles(profiles: DataFrame, items: DataFrame) -> DataFrame:
     task, and distinct orders become a plain count.
     """
     line = F.col("price") + F.col("freight_value")
-    per_order = items.groupBy("order_id").agg(
+    per_order = items.groupBy(compared(items, "order_id").alias("order_id")).agg(
         F.sum(line).alias("spent"), F.count(line).alias("lines")
     )
     spent, lines = F.sum("spent"), F.sum("lines")
     person = "customer_unique_id"
     # Under a collation one person may be spelled in several ways; the least one is stored.
-    spelled = [F.min(F.collate(person, BINARY)).alias("_spelled")] if person in collated_columns(profiles) else []
+    written = [F.collate(person, BINARY).alias("_written")] if person in collated_columns(profiles) else []
+    spelled = [F.min("_written").alias("_spelled") for _ in written]
     people = (
-        profiles.select("order_id", person, "city", "state")
+        profiles.select(*[compared(profiles, c).alias(c) for c in ("order_id", person)], *written, "city", "state")
         .join(per_order, "order_id")
         .groupBy(person)
         .agg(
@@ -74,14 +76,14 @@ def _greatest(df: DataFrame, name: str) -> Column:
     """The greatest text; of those a collation holds equal, the one of the greatest bytes."""
     if name not in collated_columns(df):
         return F.max(name).alias(name)
-    exact = F.struct(F.col(name).alias("text"), F.collate(name, BINARY).alias("exact"))
+    exact = F.struct(compared(df, name).alias("text"), F.collate(name, BINARY).alias("exact"))
     return F.max(F.when(F.col(name).isNotNull(), exact))["exact"].alias(name)
 
 
 def fact_from_profiles(items: DataFrame, profiles: DataFrame) -> DataFrame:
     """One row per line item with its order's and its person's attributes."""
     placed = profiles.drop("city", "state")
-    return conform(items.join(placed, "order_id"), STAR["fact_order_items"].schema)
+    return conform(join_on(items, placed, "order_id"), STAR["fact_order_items"].schema)
 
 
 def build_dim_customers(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
