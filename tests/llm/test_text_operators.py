@@ -126,6 +126,30 @@ def test_neighbours_recall_and_odd_vectors(spark, store):
     assert neighbours.search(neighbours.build_index(none, store), none).count() == 0
 
 
+def test_blocks_of_queries_are_not_broadcast(spark, store, settings, monkeypatch):
+    """Blocks meet every shard, in any grouping, however small Spark takes them to be."""
+    settings(spark__sql__autoBroadcastJoinThreshold="1g", spark__sql__adaptive__autoBroadcastJoinThreshold="1g")
+    r = np.random.default_rng(7)
+    data = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(300, 8)))]
+    data += [(i, v.tolist()) for i, v in enumerate(r.normal(size=(20, 3)), 1000)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    vectors = store.keep(neighbours.usable_vectors(df, "vec_id", "embedding"), "v")
+    index = neighbours.build_index(vectors, store, shard_rows=64)
+    found = []
+    for block, group in ((256, 64), (4, 3), (1, 1)):
+        monkeypatch.setattr(neighbours, "BLOCK_QUERIES", block)
+        monkeypatch.setattr(neighbours, "GROUP_BLOCKS", group)
+        got = neighbours.search(index, vectors.where("id % 10 = 0"), k=5)
+        found.append(sorted(tuple(x) for x in got.collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "Join" not in plan
+    assert found[0] == found[1] == found[2] and len(found[0]) == 32 * 5
+    for q, rank, other, score in found[0]:
+        own, of = dict(data)[q], {i: v for i, v in data if i != q and len(v) == len(dict(data)[q])}
+        best = sorted((math.dist(own, v), i) for i, v in of.items())
+        assert best[rank - 1][1] == other and abs(best[rank - 1][0] - score) < 1e-9
+
+
 def test_golay_keys_meet_within_three_bits():
     r = np.random.default_rng(5)
     x = r.integers(-(2**63), 2**63 - 1, 5000)

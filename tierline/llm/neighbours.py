@@ -4,8 +4,10 @@ Vectors are dealt to shards of bounded size by their id's hash. A shard's graph
 hierarchy of layers; each vector is linked to diverse near ones on its layers, and all
 links are stored as flat arrays in one row of a written table. Queries travel in blocks;
 every block meets every shard, is searched there from the top layer down, and the shards'
-best results are merged by exact distance. Equal vectors of a shard are one node with a
-list of members, so that large groups of copies cannot cut a graph into pieces.
+best results are merged by exact distance. Shards and blocks are shuffled to each other,
+never broadcast: a block is copied to every shard, which Spark's sizes of it leave out.
+Equal vectors of a shard are one node with a list of members, so that large groups of
+copies cannot cut a graph into pieces.
 
 Defined results: vectors that are null, zero or hold null or non-finite components, and
 rows with a null id, take no part; of rows with one id the smallest vector counts; only
@@ -17,17 +19,15 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import map_rows
-
 SHARD_ROWS = 4096
 BLOCK_QUERIES = 256
+GROUP_BLOCKS = 64
 LINKS = 12
 BUILD_WIDTH = 64
 SEARCH_WIDTH = 128
@@ -230,37 +230,40 @@ def search(
         .agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("v")).alias("flat"))
     )
     # Each block names the shards it visits, so that pairs are dealt by shard, not by length.
+    # A shard is sent once for GROUP_BLOCKS blocks, which bounds what a task holds of them.
     known = index.select("shards").first()
     shards = known.shards if known else 1
     visits = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("at")
-    pairs = packed.select("size", "ids", "flat", visits).select(
-        (F.col("size").cast("long") * shards + F.col("at")).alias("shard"), "ids", "flat"
+    group = F.floor(F.col("block") / GROUP_BLOCKS).cast("long").alias("part")
+    pairs = packed.select("size", group, "ids", "flat", visits).select(
+        (F.col("size").cast("long") * shards + F.col("at")).alias("shard"), "part", "ids", "flat"
     )
-    opened: dict = {}
-
-    def row(state: dict, *values) -> Iterator[tuple]:
-        shard, size, *parts, starts, members, ids, flat = values
-        if state.get("shard") != shard:
-            state.update(shard=shard, graph=open_index(size, *parts))
-            state.update(starts=np.frombuffer(starts, np.int64), members=np.frombuffer(members, np.int64))
-        graph, starts, members = state["graph"], state["starts"], state["members"]
-        for query, q in zip(ids, np.asarray(flat).reshape(-1, size)):
-            found = []
-            for node in graph.search(q, max(width, k + 1)):
-                own = [m for m in members[starts[node] : starts[node + 1]][: k + 1].tolist() if m != query]
-                step = graph.vectors[node] - q
-                found += [(math.sqrt(float(step @ step)), m) for m in own]
-            for score, m in sorted(found)[:k]:
-                yield query, m, score
-
+    parts = F.sequence(F.lit(0), F.lit((blocks - 1) // GROUP_BLOCKS)).cast("array<long>")
     columns = [f.strip().split()[0] for f in INDEX_SCHEMA.split(",")]
-    found = map_rows(
-        index.join(pairs, "shard"),
-        [*columns, "ids", "flat"],
-        row,
-        "query_id long, vec_id long, score double",
-        lambda: dict(opened),
-        slice_rows=2,
+    copies = index.select(*columns, F.explode(parts).alias("part"))
+    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+    def visit(shard: pa.Table, met: pa.Table) -> pa.Table:
+        if not shard.num_rows or not met.num_rows:
+            return schema.empty_table()
+        _, size, *stored, starts, members = (shard.column(c)[0].as_py() for c in columns)
+        graph = open_index(size, *stored)
+        starts, members = np.frombuffer(starts, np.int64), np.frombuffer(members, np.int64)
+        out: list[tuple] = []
+        for ids, flat in zip(met.column("ids"), met.column("flat")):
+            for query, q in zip(ids.as_py(), flat.values.to_numpy().reshape(-1, size)):
+                found = []
+                for node in graph.search(q, max(width, k + 1)):
+                    own = [m for m in members[starts[node] : starts[node + 1]][: k + 1].tolist() if m != query]
+                    step = graph.vectors[node] - q
+                    found += [(math.sqrt(float(step @ step)), m) for m in own]
+                out += [(query, m, score) for score, m in sorted(found)[:k]]
+        return pa.table([list(c) for c in zip(*out)] or [[], [], []], schema=schema)
+
+    found = (
+        copies.groupBy("shard", "part")
+        .cogroup(pairs.groupBy("shard", "part"))
+        .applyInArrow(visit, "query_id long, vec_id long, score double")
     )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
