@@ -2,24 +2,27 @@
 
 Spark compares two texts under an ICU collation through a collator that all threads of an
 executor share and lock, once per comparison of a sort. Here each value is turned into its
-sort key once, and joins, sorts and groups see plain bytes. Texts of letters, digits and
-spaces alone, as most keys are, get theirs by replacing characters, without the collator.
+sort key once, and joins, sorts and groups see plain bytes. Texts of letters, digits, spaces,
+hyphens and underscores alone, as most keys are, get theirs by replacing characters, without
+the collator.
 """
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 BINARY = "UTF8_BINARY"
-_ALPHABETS = (string.digits + string.ascii_letters + " ", string.digits + string.ascii_letters)
-_IMAGES: dict[str, tuple[str, str, bytes] | None] = {}
+_ALNUM = string.digits + string.ascii_letters
+_ALPHABETS = (_ALNUM + " _-", _ALNUM + "_-", _ALNUM)
+_IMAGES: dict[str, tuple[dict[str, str], bytes] | None] = {}
 
 
-def _images(spark: SparkSession, collation: str) -> tuple[str, str, bytes] | None:
-    """Characters whose sort keys are one byte each, in any company; these bytes; a key's end.
+def _images(spark: SparkSession, collation: str) -> tuple[dict[str, str], bytes] | None:
+    """Characters, what each contributes to a sort key in any company, and a key's end.
 
     ``None`` where the collation has no such alphabet, as it also compares accents or case,
     or takes some of its letters together. All pairs are tried, the last ones at the end of
@@ -34,19 +37,22 @@ def _images(spark: SparkSession, collation: str) -> tuple[str, str, bytes] | Non
             utf8 = jvm.org.apache.spark.unsafe.types.UTF8String.fromString(text)
             return bytes(factory.getCollationKeyBytes(utf8, number))
 
-        def single(letters: str) -> tuple[str, str, bytes] | None:
+        def found(letters: str) -> tuple[dict[str, str], bytes] | None:
             end = key("")
-            image = key(letters + letters[0])[: len(letters)]
-            if len(image) < len(letters) or not all(0 < b < 128 for b in image):
+            of = {c: key(c).removesuffix(end) for c in letters}
+            longer = {b for image in of.values() if len(image) > 1 for b in image}
+            texts = ["".join(a + b for a in letters for b in letters), *(a + letters[-1] for a in letters)]
+            texts += [letters[0] + b for b in letters]
+            if (
+                any(not image or max(image) > 127 or 0 in image for image in of.values())
+                or any(len(of[c]) > 1 for c in _ALNUM)
+                or longer & set(letters.encode())
+                or any(key(t) != b"".join(of[c] for c in t) + end for t in texts)
+            ):
                 return None
-            of = dict(zip(letters, image))
-            pairs = "".join(a + b for a in letters for b in letters)
-            texts = (pairs, *(a + b for a in letters for b in letters[-1]))
-            if any(key(t) != bytes(of[c] for c in t) + end for t in texts):
-                return None
-            return letters, image.decode("ascii"), end
+            return {c: image.decode("ascii") for c, image in of.items()}, end
 
-        _IMAGES[collation] = next(filter(None, map(single, _ALPHABETS)), None)
+        _IMAGES[collation] = next(filter(None, map(found, _ALPHABETS)), None)
     return _IMAGES[collation]
 
 
@@ -59,8 +65,13 @@ def sort_key(spark: SparkSession, name: str, collation: str) -> Column:
     images = _images(spark, collation)
     if images is None:
         return by_collator
-    letters, image, end = images
-    plain = F.collate(name, BINARY)
-    replaced = F.translate(plain, letters, image).cast("binary")
+    of, end = images
+    plain = replaced = F.collate(name, BINARY)
+    # The bytes of longer images are not letters themselves, so that they are left alone then.
+    for letter, image in of.items():
+        if len(image) > 1:
+            replaced = F.replace(replaced, F.lit(letter), F.lit(image))
+    single = {c: image for c, image in of.items() if len(image) == 1}
+    replaced = F.translate(replaced, "".join(single), "".join(single.values())).cast("binary")
     whole = F.concat(replaced, F.lit(end)) if end else replaced
-    return F.when(plain.rlike(rf"\A[{letters}]*\z"), whole).otherwise(by_collator)
+    return F.when(plain.rlike(rf"\A[{re.escape(''.join(of))}]*\z"), whole).otherwise(by_collator)
